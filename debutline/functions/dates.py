@@ -20,18 +20,31 @@ STORED_FORMAT = "yyyy-MM-dd"
 PAGE_FORMATS = [TIMELINE_FORMAT, CELL_FORMAT, RANGE_FORMAT, PRICE_DAY_FORMAT]
 # --- end of fixed values ----------------------------------------------------------------------
 
+# what a text must look like before its format is tried: a failed parse costs far more than a match
+SHAPES = {
+    TIMELINE_FORMAT: r"^[A-Za-z]{3} \d{1,2}, \d{4}$",
+    CELL_FORMAT: r"^[A-Za-z]{3} \d{1,2} \d{4}$",
+    RANGE_FORMAT: r"^\d{1,2} [A-Za-z]{3} \d{4}$",
+    PRICE_DAY_FORMAT: r"^\d{1,2}-\d{1,2}-\d{4}$",
+    STORED_FORMAT: r"^\d{4}-\d{2}-\d{2}$",
+}
+
 WEEKDAY_PREFIX = r"^[A-Za-z]{3},? (?=[A-Za-z]{3} )"
 
 
 def parse_date(text: ColumnLike, formats: Sequence[str] = tuple(PAGE_FORMATS)) -> Column:
     """First format that reads the text; null when none does."""
     bare = F.regexp_replace(F.trim(col(text)), WEEKDAY_PREFIX, "")
-    return F.coalesce(*[F.try_to_date(bare, fmt) for fmt in formats])
+    return F.coalesce(*[_dated(bare, fmt) for fmt in formats])
+
+
+def _dated(text: Column, fmt: str) -> Column:
+    return F.when(text.rlike(SHAPES[fmt]), F.try_to_date(text, fmt))
 
 
 def stored_date(text: ColumnLike) -> Column:
     """Date kept as `yyyy-MM-dd` text in a stored table."""
-    return F.try_to_date(col(text), STORED_FORMAT)
+    return _dated(col(text), STORED_FORMAT)
 
 
 def date_text(date: ColumnLike) -> Column:

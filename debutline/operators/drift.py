@@ -6,6 +6,7 @@ import math
 from collections.abc import Sequence
 
 import numpy as np
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -92,23 +93,25 @@ def ks_statistics(base: DataFrame, current: DataFrame, columns: Sequence[str], s
         clean = first[f"nulls_{at}"] == 0 and n_base > 0 and n_current > 0
         out[name] = {"column": name, "n_base": n_base, "n_current": n_current, "statistic": None}
         if clean:
-            known[name] = sorted(set(first[f"edges_{at}"]))
+            known[name] = sorted(edge for edge in set(first[f"edges_{at}"]) if math.isfinite(edge))
     if not known:
         return list(out.values())
 
-    # slot = number of edges below the value, so an edge closes its own slot
-    def slot_of(name: str) -> Column:
-        return edges_below(known[name], F.col(name).cast("double"))
-
+    typed = both.select("_base", *[F.col(name).cast("double").alias(f"_v{at}") for at, name in enumerate(known)])
+    slotted = Bucketizer(
+        splitsArray=[[-math.inf, *edges, math.inf] for edges in known.values()],
+        inputCols=[f"_v{at}" for at in range(len(known))],
+        outputCols=[f"_s{at}" for at in range(len(known))],
+    ).transform(typed)
     cells = F.explode(
         F.array(
             *[
-                F.struct(F.lit(n).alias("column"), slot_of(n).alias("slot"), F.col(n).cast("double").alias("value"))
-                for n in known
+                F.struct(F.lit(n).alias("column"), F.col(f"_s{at}").cast("int").alias("slot"), F.col(f"_v{at}").alias("value"))
+                for at, n in enumerate(known)
             ]
         )
     )
-    long = both.select("_base", cells.alias("cell")).select("_base", "cell.*")
+    long = slotted.select("_base", cells.alias("cell")).select("_base", "cell.*")
     counts = (F.count_if(is_base).alias("c1"), F.count_if(~is_base).alias("c2"))
     per_slot: dict[str, list] = {name: [] for name in known}
     for row in long.groupBy("column", "slot").agg(*counts).collect():

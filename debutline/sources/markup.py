@@ -7,8 +7,9 @@ they are exploded.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator, Mapping, Sequence
-from html.parser import HTMLParser
+from html import unescape
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -54,11 +55,19 @@ PARSED_FIELDS = [
 ]
 
 
-class _PageReader(HTMLParser):
+TOKENS = re.compile(
+    r"""<!--.*?(?:-->|$)|<(?P<raw>script|style)\b.*?(?:</(?P=raw)\s*>|$)|<[!?][^>]*>"""
+    r"""|<(?P<close>/?)(?P<tag>[a-z][a-z0-9]*)(?P<attrs>(?:[^>"']|"[^"]*"|'[^']*')*)>|(?P<text>[^<]+|<)""",
+    re.IGNORECASE | re.DOTALL,
+)
+WATCHED = {"table", "thead", "tbody", "tr", "td", "th", "li", "span", "a", "del"}
+HREF = re.compile(r"""\shref\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.IGNORECASE)
+
+
+class _PageReader:
     """Collects tables, the links inside their rows, and the spans of list items."""
 
     def __init__(self) -> None:
-        super().__init__(convert_charrefs=True)
         self.tables: list[dict] = []
         self.links: list[dict] = []
         self.spans: list[str] = []
@@ -68,7 +77,23 @@ class _PageReader(HTMLParser):
         self.span_at: list[int | None] = []
         self.link: dict | None = None
 
-    def handle_starttag(self, tag: str, attrs: list) -> None:
+    def read(self, page: str) -> None:
+        for token in TOKENS.finditer(page):
+            kind = token.lastgroup
+            if kind == "text":
+                if self.texts or self.span_at or self.link is not None:
+                    text = token["text"]
+                    self.handle_data(unescape(text) if "&" in text else text)
+            elif token["tag"]:
+                tag = token["tag"].lower()
+                if tag not in WATCHED:
+                    continue
+                if token["close"]:
+                    self.handle_endtag(tag)
+                else:
+                    self.handle_starttag(tag, token["attrs"])
+
+    def handle_starttag(self, tag: str, attrs: str) -> None:
         table = self.open_tables[-1] if self.open_tables else None
         if tag == "table":
             fresh = {"no": len(self.tables), "head": False, "row": -1, "cell": None, "headers": [], "links": [], "rows": []}
@@ -99,7 +124,7 @@ class _PageReader(HTMLParser):
                 "row_no": table["row"] if in_row else None,
                 "col_no": len(table["rows"][-1]) if in_row else None,
                 "text": "",
-                "href": dict(attrs).get("href"),
+                "href": _href(attrs),
                 "struck": False,
             }
             if in_row:
@@ -157,12 +182,17 @@ class _PageReader(HTMLParser):
         return tables, links, [span.strip() for span in self.spans], None
 
 
+def _href(attrs: str) -> str | None:
+    found = HREF.search(" " + attrs)
+    value = next((part for part in found.groups() if part is not None), None) if found else None
+    return unescape(value) if value else value
+
+
 def _read_page(html: str | None) -> tuple:
     """One page parsed. What goes wrong is returned as text, so one bad page fails no task."""
     try:
         reader = _PageReader()
-        reader.feed(html)
-        reader.close()
+        reader.read(html)
         return reader.result()
     except Exception as problem:  # noqa: BLE001
         return None, None, None, f"{type(problem).__name__}: {problem}"
