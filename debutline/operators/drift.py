@@ -67,7 +67,7 @@ def _exact_probability(distance: float, n1: int, n2: int) -> float:
     return float(min(1.0, max(0.0, 1.0 - alive[n1])))
 
 
-def ks_statistics(base: DataFrame, current: DataFrame, columns: Sequence[str], slots: int = 256) -> list[dict]:
+def ks_statistics(base: DataFrame, current: DataFrame, columns: Sequence[str], slots: int = 128) -> list[dict]:
     """Exact largest gap between the two distribution functions, per column.
 
     Three passes keep the work small at any size:
@@ -80,7 +80,7 @@ def ks_statistics(base: DataFrame, current: DataFrame, columns: Sequence[str], s
     """
     both = base.select(*columns, F.lit(1).alias("_base")).unionByName(current.select(*columns, F.lit(0).alias("_base")))
     is_base, known = F.col("_base") == 1, {}
-    steps = [at / slots for at in range(1, slots)]
+    steps = F.array(*[F.lit(at / slots) for at in range(1, slots)])
     parts = [F.count_if(is_base).alias("n_base"), F.count_if(~is_base).alias("n_current")]
     for at, name in enumerate(columns):
         value = F.nanvl(F.col(name).cast("double"), F.lit(None).cast("double"))
