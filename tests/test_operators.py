@@ -121,6 +121,13 @@ def test_subscription_day_above_limit_raises(spark):
         reshape.subscription_columns(df, ["url"]).collect()
 
 
+def test_first_listed_metric_name_counts(spark):
+    found = [("u", 1, "QIB (Ex Anchor)", 9.0), ("u", 1, "QIB", 3.0), ("u", 2, "QIB", None), ("u", 2, "QIB (Ex Anchor)", 4.0), ("u", 2, "Other", 1.0)]
+    df = spark.createDataFrame(found, "url string, day int, metric string, value double")
+    row = reshape.subscription_columns(df, ["url"], max_day=2).first()
+    assert (row["IPO_day1_qib"], row["IPO_day2_qib"], row["IPO_day2_nii"]) == (3.0, 4.0, None)
+
+
 def test_schema_report(spark):
     df = spark.createDataFrame([("1", "x"), (None, "2")], "a string, b string")
     report = quality.schema_report(df, {"a": T.DoubleType(), "b": T.DoubleType(), "c": T.DoubleType()})
