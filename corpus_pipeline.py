@@ -5,15 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from debutline.llm.decontaminate import remove_contaminated
+from debutline.llm.simhash import keep_one
 from debutline.llm.shared import cut_lineage, table
 
 
+def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group that SimHash fingerprints link."""
+    return keep_one(docs)
+
+
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of which less than a twentieth of the words is inside a 13-word window of the benchmark."""
     return remove_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
-STAGES = [("benchmark_decontamination", decontaminated)]
+STAGES = [("simhash_near_dedup", distinct), ("benchmark_decontamination", decontaminated)]
 
 # tokenisation and balanced sampling have no SQL form; the tests compare every stage with a brute-force version
 ORACLE_SQL = None

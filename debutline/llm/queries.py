@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from debutline.llm import decontaminate
+from debutline.llm import decontaminate, simhash
 from debutline.llm.shared import table
 
 
@@ -17,8 +17,13 @@ def op5_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.judged(found.drop("text"))
 
 
+def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, folder, "documents").select("doc_id", "text"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_decontaminate": op5_decontaminate,
+    "op10_simhash": op10_simhash,
 }
 
 SQL: dict[str, str] = {}
