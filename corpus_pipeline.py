@@ -3,12 +3,20 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from debutline.llm import language
 from debutline.llm.decontaminate import remove_contaminated
 from debutline.llm.simhash import keep_one
 from debutline.llm.shared import cut_lineage, table
 
 
+def in_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a language: null texts and texts without any letter go, whatever else is in them."""
+    model = language.fit(docs.where(language.learnable("doc_id")))
+    return language.predict(docs, model).where(F.col("_lang") != language.UNDETERMINED).drop("_lang", "_score")
+
+
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group that SimHash fingerprints link."""
     return keep_one(docs)
@@ -19,7 +27,7 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return remove_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
-STAGES = [("simhash_near_dedup", distinct), ("benchmark_decontamination", decontaminated)]
+STAGES = [("language_id", in_known_languages), ("simhash_near_dedup", distinct), ("benchmark_decontamination", decontaminated)]
 
 # tokenisation and balanced sampling have no SQL form; the tests compare every stage with a brute-force version
 ORACLE_SQL = None

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from debutline.llm import decontaminate, simhash
+from debutline.llm import decontaminate, language, quality, simhash
 from debutline.llm.shared import table
 
 
@@ -21,8 +21,28 @@ def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents").select("doc_id", "text"))
 
 
+def op7_language(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents")
+    model = language.fit(documents.where(language.learnable("doc_id")))
+    found = language.predict(documents.select("doc_id", "text"), model)
+    return found.select("doc_id", (~language.learnable("doc_id")).alias("held_out"), F.col("_lang").alias("lang_pred"), F.col("_score").alias("score"))
+
+
+def op8_quality(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    weights = quality.fit(quality.labelled_rows(documents, table(spark, folder, "labels")))
+    return quality.score(documents, weights).select(
+        "doc_id",
+        (~quality.learnable("doc_id")).alias("held_out"),
+        F.col("_score").alias("score"),
+        (F.col("_score") >= quality.GOOD).cast("int").alias("predicted"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_decontaminate": op5_decontaminate,
+    "op7_language": op7_language,
+    "op8_quality": op8_quality,
     "op10_simhash": op10_simhash,
 }
 
