@@ -7,8 +7,11 @@ from pyspark.sql import functions as F
 
 from debutline.llm import language
 from debutline.llm.decontaminate import remove_contaminated
-from debutline.llm.simhash import keep_one
+from debutline.llm.mix import mixed
+from debutline.llm.queries import tokenizer_path
 from debutline.llm.shared import cut_lineage, table
+from debutline.llm.simhash import keep_one
+from debutline.llm.token_file import token_table
 
 
 def in_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -27,7 +30,23 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return remove_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
-STAGES = [("language_id", in_known_languages), ("simhash_near_dedup", distinct), ("benchmark_decontamination", decontaminated)]
+def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents as often as the mix takes them: sources weigh 1, 2, 3 by turns, none more than three times its size."""
+    return mixed(docs)
+
+
+def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document as token ids, written as coded files and read back: doc_id, start, n_tokens, ids_crc32."""
+    return token_table(docs.select("doc_id", "text"), tokenizer_path("word_bpe_49k.json"))
+
+
+STAGES = [
+    ("language_id", in_known_languages),
+    ("simhash_near_dedup", distinct),
+    ("benchmark_decontamination", decontaminated),
+    ("source_mixture", mixture),
+    ("token_id_output", token_ids),
+]
 
 # tokenisation and balanced sampling have no SQL form; the tests compare every stage with a brute-force version
 ORACLE_SQL = None

@@ -7,10 +7,25 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from debutline.llm import decontaminate, language, quality, simhash
+from debutline.llm import decontaminate, language, mix, quality, simhash, token_file
 from debutline.llm.shared import table
 
 
+def tokenizer_path(name: str) -> str:
+    """Where a public vocabulary file is, for driver and executors alike."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op1_mix(spark: SparkSession, folder: str) -> DataFrame:
+    return mix.mix(table(spark, folder, "documents").select("doc_id", "source", "text"))
+
+
+def op3_token_file(spark: SparkSession, folder: str) -> DataFrame:
+    return token_file.token_table(table(spark, folder, "documents").select("doc_id", "text"), tokenizer_path("word_bpe_49k.json"))
+
+
 def op5_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents").select("doc_id", "text")
     found = decontaminate.find_windows(documents, table(spark, folder, "benchmark"))
@@ -40,6 +55,8 @@ def op8_quality(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_mix": op1_mix,
+    "op3_token_file": op3_token_file,
     "op5_decontaminate": op5_decontaminate,
     "op7_language": op7_language,
     "op8_quality": op8_quality,
