@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from debutline.llm import decontaminate, language, mix, quality, simhash, token_file
+from debutline.llm import decontaminate, digest, language, mix, quality, simhash, token_counts, token_file, warc
 from debutline.llm.shared import table
 
 
@@ -26,16 +26,29 @@ def op3_token_file(spark: SparkSession, folder: str) -> DataFrame:
     return token_file.token_table(table(spark, folder, "documents").select("doc_id", "text"), tokenizer_path("word_bpe_49k.json"))
 
 
+def op4_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    counted = token_counts.count_tokens(table(spark, folder, "documents").select("doc_id", "text"), tokenizer_path("piece_bpe_32k.model"))
+    return counted.select("doc_id", F.col("_words").alias("n_words"), F.col("_tokens").alias("n_tokens"))
+
+
 def op5_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents").select("doc_id", "text")
     found = decontaminate.find_windows(documents, table(spark, folder, "benchmark"))
     return decontaminate.judged(found.drop("text"))
 
 
+def op9_warc(spark: SparkSession, folder: str) -> DataFrame:
+    return warc.round_trip(table(spark, folder, "pages").select("page_id", "url", "html"))
+
+
 def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents").select("doc_id", "text"))
 
 
+def op6_digest(spark: SparkSession, folder: str) -> DataFrame:
+    return digest.with_next(table(spark, folder, "documents").select("doc_id", "text"))
+
+
 def op7_language(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents")
     model = language.fit(documents.where(language.learnable("doc_id")))
@@ -57,10 +70,29 @@ def op8_quality(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix": op1_mix,
     "op3_token_file": op3_token_file,
+    "op4_token_counts": op4_token_counts,
     "op5_decontaminate": op5_decontaminate,
+    "op6_digest": op6_digest,
     "op7_language": op7_language,
     "op8_quality": op8_quality,
+    "op9_warc": op9_warc,
     "op10_simhash": op10_simhash,
 }
 
-SQL: dict[str, str] = {}
+# 20 bits of a hash are 5 hex digits and 4 letters of base32
+WARC_SQL = """
+WITH payloads AS (
+    SELECT page_id, coalesce(html, '') AS body, sha1(coalesce(html, '')) AS hex, octet_length(encode(coalesce(html, ''))) AS n FROM pages
+), firsts AS (
+    SELECT hex, max(page_id) AS response FROM payloads GROUP BY hex
+)
+SELECT page_id, n AS payload_bytes,
+    list_aggregate(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+        1 + (((('0x' || substr(hex, (i // 4) * 5 + 1, 5))::BIGINT >> (15 - 5 * (i % 4))) & 31))::INT, 1)), 'string_agg', '') AS payload_digest,
+    CASE WHEN page_id = response THEN 'response' ELSE 'revisit' END AS record_type,
+    CASE WHEN page_id = response THEN NULL ELSE response END AS refers_to,
+    CAST(NULL AS VARCHAR) AS problem
+FROM payloads JOIN firsts USING (hex)
+"""
+
+SQL: dict[str, str] = {"op9_warc": WARC_SQL}
