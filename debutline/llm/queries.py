@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from debutline.llm import decontaminate, digest, language, mix, quality, simhash, token_counts, token_file, warc
+from debutline.llm import decontaminate, digest, html_extract, language, mix, quality, simhash, token_counts, token_file, warc
 from debutline.llm.shared import table
 
 
@@ -22,6 +22,12 @@ def op1_mix(spark: SparkSession, folder: str) -> DataFrame:
     return mix.mix(table(spark, folder, "documents").select("doc_id", "source", "text"))
 
 
+def op2_html(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages").select("page_id", "url", "html")
+    found = html_extract.extract(pages, html_extract.fit(pages))
+    return found.select("page_id", "url", F.col("_text").alias("text"), F.length("_text").cast("long").alias("n_chars"))
+
+
 def op3_token_file(spark: SparkSession, folder: str) -> DataFrame:
     return token_file.token_table(table(spark, folder, "documents").select("doc_id", "text"), tokenizer_path("word_bpe_49k.json"))
 
@@ -69,6 +75,7 @@ def op8_quality(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix": op1_mix,
+    "op2_html": op2_html,
     "op3_token_file": op3_token_file,
     "op4_token_counts": op4_token_counts,
     "op5_decontaminate": op5_decontaminate,
