@@ -24,11 +24,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-TRAIN_PAGES = 250
+TRAIN_PAGES = 300
 VARIANTS = 3
-TREES = 50
+TREES = 60
 DEPTH = 4
-RATE = 0.2
+RATE = 0.3
 BINS = 24
 HASHED = 96
 
@@ -433,7 +433,11 @@ def variant(source: str, rng: random.Random) -> str:
         lambda: f"<pre>{some(3, 20)}</pre>",
     ]
     inside = [part for part in re.split(r"(?=<(?:p|h\d|ul|div)\b)", inner) if part]
-    for _ in range(rng.randint(0, 4)):
+    if rng.random() < 0.3:  # short articles are articles too
+        inside = inside[: rng.randint(1, 3)]
+    elif rng.random() < 0.1:
+        inside = [f"<h1>{some(1, 3)}.</h1><p>{rng.choice(['', '<b>'])}{some(1, 4)}.<br>"]
+    for _ in range(rng.choice([0, 0, 1, 2, 4])):
         inside.insert(rng.randint(0, len(inside)), rng.choice(good)())
     for _ in range(rng.choice([0, 0, 1, 2])):
         inside.insert(rng.randint(0, len(inside)), rng.choice(boiler[1:6])())

@@ -3,11 +3,11 @@
 Every document of a source is taken floor(r) times, r = target / size of the source, and once more with probability r - floor(r). Which ones
 are taken once more is drawn by the cube method: the vector of probabilities moves at random through the null space of the constraints
 (documents and words of the source stay as expected) until each unit has reached 0 or 1. With two constraints a step needs three units,
-so a block of units is walked through in one pass and leaves two undecided at most.
+so a block of units is walked through in one pass and leaves two undecided at most. `LANDING_UNITS` of all sizes wait outside the walk.
 
 Blocks hold about `BLOCK_UNITS` units, picked by a hash of the id; what a round leaves undecided meets in blocks again, until one block per source
-is left with a small landing problem: two undecided units and `LANDING_UNITS` more, of all sizes, of which the choice nearest to the
-expected words is taken. Only ids and sizes are shuffled, never texts,
+is left with a small landing problem: the two undecided units and those that waited, of which the choice nearest to the expected words is
+taken. Only ids and sizes are shuffled, never texts,
 and a source with a third of all rows is as many blocks as it needs. Draws come from a hash of source, round and block, and units are
 walked in an order of their own, so reruns agree.
 """
@@ -111,9 +111,8 @@ def _walk(land: bool, number: int, columns: list[str]):
         share = group.column("_share").to_numpy()
         order = np.lexsort((mark, -size))
         order = order[(share[order] > _NEAR) & (share[order] < 1 - _NEAR)]
-        late = np.zeros(0, np.int64)
-        if land:  # units of all sizes wait for the landing, where they make up for what the walk leaves
-            late = np.unique(np.linspace(0, len(order) - 1, LANDING_UNITS).astype(np.int64)) if len(order) else late
+        # units of all sizes wait for the landing, where they make up for what the walk leaves
+        late = np.unique(np.linspace(0, len(order) - 1, LANDING_UNITS).astype(np.int64)) if len(order) else np.zeros(0, np.int64)
         share = flight(share, size, draws, np.delete(order, late))
         if land:
             share = landing(share, size)

@@ -151,10 +151,10 @@ _FIELDS = "name string, page string, kind string, refers_to string, digest strin
 def _whole(name: str, kind: str, refers_to: str | None, digest: str | None, block: bytes, problem: str | None) -> tuple:
     row, _, page = name.partition(":")
     payload = None
-    if problem is None:
+    if problem is None and kind != "revisit":
         try:
             payload = http_payload(block)
-            if kind != "revisit" and digest and digest != payload_digest(payload):
+            if digest and digest != payload_digest(payload):
                 problem, payload = "payload digest differs", None
         except ValueError as error:
             problem = str(error)
