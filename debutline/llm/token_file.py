@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import os
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -27,7 +28,7 @@ END_ID = 1
 MOST_BITS = 16
 BLOCK_IDS = 1 << 16
 STRIDE = 256
-CACHED_WORDS = 300_000
+CACHED_WORDS = 700_000
 _TOGETHER = 1 << 20
 
 
@@ -43,25 +44,52 @@ def _tokenizer(path: str):
 
 
 class WordIds:
-    """Ids of texts; words between ASCII white space are encoded once and remembered, as the vocabulary drops white space."""
+    """Ids of texts. The vocabulary drops white space, so words between ASCII white space are encoded once and remembered.
+
+    As it also lower-cases, and never joins a sign to letters, a word's ids are those of its lower-case form, and a sign after an
+    ASCII letter has ids of its own; far fewer forms than words reach the tokenizer. Words that may hold a special token are left alone.
+    """
 
     def __init__(self, path: str, most_words: int = CACHED_WORDS):
         self.path, self.most, self.known = path, most_words, {}
 
+    def _learn(self, words: set[bytes]) -> None:
+        known, forms = self.known, {}
+        for word in words:
+            if b"<|" in word:
+                forms[word] = (word, b"")
+                continue
+            low = word.lower()
+            if len(low) > 1 and low[-1] in b".,;:!?" and 97 <= low[-2] <= 122:
+                forms[word] = (low[:-1], low[-1:])
+            else:
+                forms[word] = (low, b"")
+        new = list({part for pair in forms.values() for part in pair if part and part not in known})
+        for at in range(0, len(new), 1 << 14):
+            part = new[at : at + (1 << 14)]
+            found = _tokenizer(self.path).encode_batch_fast([word.decode("utf-8", "replace") for word in part], add_special_tokens=False)
+            known.update((word, array("I", code.ids).tobytes()) for word, code in zip(part, found))
+        known[b""] = b""
+        known.update((word, known[stem] + known[sign]) for word, (stem, sign) in forms.items() if word != stem)
+
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         split = [text.encode("utf-8", "surrogatepass").split() if text else [] for text in texts]
-        new = list({word for words in split for word in words if word not in self.known})
-        if len(self.known) + len(new) > self.most:
-            self.known = {}
-            new = list({word for words in split for word in words})
         known = self.known
-        for at in range(0, len(new), 1 << 14):
-            part = new[at : at + (1 << 14)]
-            found = _tokenizer(self.path).encode_batch([word.decode("utf-8", "replace") for word in part], add_special_tokens=False)
-            known.update((word, np.array(code.ids, np.uint32).tobytes()) for word, code in zip(part, found))
+        new = {word for words in split for word in words if word not in known}
+        if len(known) + len(new) > self.most:
+            self.known = known = {}
+            new = {word for words in split for word in words}
+        if new:
+            self._learn(new)
         return [np.frombuffer(b"".join([known[word] for word in words]), np.uint32) for words in split]
 
 
+@lru_cache(maxsize=1)
+def _word_ids(path: str) -> WordIds:
+    """One for all tasks that a Python worker runs."""
+    return WordIds(path)
+
+
 def packed(ids: np.ndarray) -> bytes:
     """Ids by byte planes, compressed; smaller on the way than as they are."""
     ids = ids.astype("<u4")
@@ -83,7 +111,7 @@ def tokenised(documents: DataFrame, path: str, doc_id: str = "doc_id", text: str
     kind = documents.schema[doc_id].dataType.simpleString()
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, end = WordIds(path), np.array([end_id], np.uint32)
+        words, end = _word_ids(path), np.array([end_id], np.uint32)
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
