@@ -168,9 +168,9 @@ def mix(documents: DataFrame, doc_id: str = "doc_id", source: str = "source", te
 
 
 def mixed(documents: DataFrame, doc_id: str = "doc_id", source: str = "source", text: str = "text", **options) -> DataFrame:
-    """The mix itself: the rows of `documents`, each as often as it is taken."""
+    """The mix itself: the rows of `documents`, each as often as it is taken. `_row`, `_times` and `_copy` may not be in use."""
     held = cut_lineage(documents.withColumn("_row", F.monotonically_increasing_id()), "mix-rows")
     units = cut_lineage(held.select(F.col(doc_id).alias("key"), F.col(source).alias("source"), word_count(text).alias("size"), "_row"), "units")
-    taken = drawn(units, source_targets(units), **options).where("repeats > 0").select("_row", "repeats")
+    taken = drawn(units, source_targets(units), **options).where("repeats > 0").select("_row", F.col("repeats").alias("_times"))
     names = [f"`{name}`" for name in documents.columns]
-    return held.join(taken, "_row").select(*names, F.explode(F.sequence(F.lit(1), F.col("repeats"))).alias("_copy")).drop("_copy")
+    return held.join(taken, "_row").select(*names, F.explode(F.sequence(F.lit(1), F.col("_times"))).alias("_copy")).drop("_copy")
