@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -13,7 +15,14 @@ from debutline.functions.series import sort_pairs
 from debutline.operators.match import attach, listing_prices, refresh_filter
 from debutline.operators.merge import last_per_key
 from debutline.operators.project import conform, drop_value, existing, rename
-from debutline.operators.reshape import columns_from_pairs, gather_pairs, squeeze_subscriptions, subscription_columns, trim_zeros
+from debutline.operators.reshape import (
+    columns_from_trimmed,
+    fits_columns,
+    gather_pairs,
+    squeeze_subscriptions,
+    subscription_columns,
+    trim_zeros,
+)
 from debutline.schema import DETAIL_KEYS, OFFERING_TYPES, TARGET_COLUMN
 from debutline.sources.markup import (
     detail_rows,
@@ -26,7 +35,9 @@ from debutline.sources.markup import (
     review_rows,
     split_errors,
     subscription_rows,
+    unreadable_days,
 )
+from debutline.session import cut_lineage
 from debutline.sources.store import Store
 
 # --- fixed values -----------------------------------------------------------------------------
@@ -42,6 +53,10 @@ REVIEW_NAMES = [
 ]
 # --- end of fixed values ----------------------------------------------------------------------
 
+PAGE_KINDS = ("lists", "offers", "reviews", "subscriptions", "prices")
+SERIES = "gmp_series"
+LATEST = ("IPO_list_date", "IPO_open_date", "IPO_close_date")
+
 
 @dataclass(frozen=True)
 class Landing:
@@ -95,21 +110,21 @@ def offer_reviews(parsed: DataFrame) -> DataFrame:
 
 
 def offer_subscriptions(parsed: DataFrame) -> DataFrame:
-    """Subscription multiples as day columns, one row per subscription page."""
+    """Subscription multiples of any number of days as three day columns each, one row per subscription page."""
     rows = subscription_rows(parsed).withColumn("value", text.to_number("value"))
     return subscription_columns(rows, ["sbscrp_url"])
 
 
 def offer_prices(parsed: DataFrame) -> DataFrame:
-    """Grey-market prices as day columns in date order, one row per price page."""
+    """Grey-market prices of all days as one series in date order, one row per price page."""
     rows = price_rows(parsed).select(
         "grmkpt_url",
         "day",
         dates.parse_date("date_text", [dates.PRICE_DAY_FORMAT]).alias("date"),
         text.rupees("price_text").alias("price"),
     )
-    series = gather_pairs(rows, ["grmkpt_url"], "day", "date", "price")
-    return columns_from_pairs(series.withColumn("pairs", sort_pairs("pairs")))
+    series = gather_pairs(rows, ["grmkpt_url"], "day", "date", "price", SERIES)
+    return series.withColumn(SERIES, sort_pairs(SERIES))
 
 
 def _attach_once(df: DataFrame, details: DataFrame, link: str, detail_link: str) -> DataFrame:
@@ -117,19 +132,28 @@ def _attach_once(df: DataFrame, details: DataFrame, link: str, detail_link: str)
     return attach(df, details.withColumn("_order", F.lit(0)), link, detail_link, ["_order"])
 
 
-def _readable(pages: DataFrame) -> DataFrame:
-    return split_errors(parse_pages(pages.select("url", "html")))[0]
+def parsed_pages(landing: Landing) -> dict[str, DataFrame]:
+    """The parsed pages of each kind, those that could not be read included."""
+    return {kind: parse_pages(getattr(landing, kind).select("url", "html")) for kind in PAGE_KINDS}
+
+
+def quarantine(parsed: Mapping[str, DataFrame]) -> DataFrame:
+    """(kind, url, error) of the pages that could not be read, or not in full."""
+    found = [split_errors(pages)[1].select(F.lit(kind).alias("kind"), "url", "error") for kind, pages in parsed.items()]
+    found.append(unreadable_days(split_errors(parsed["subscriptions"])[0]).select(F.lit("subscriptions").alias("kind"), "url", "error"))
+    return reduce(DataFrame.unionByName, found)
 
 
-def extract(landing: Landing, store: DataFrame) -> DataFrame:
-    """Landed pages and tables to one row per new or unfinished offer."""
-    listed = refresh_filter(listed_companies(_readable(landing.lists)), store)
+def extract(landing: Landing, store: DataFrame, parsed: Mapping[str, DataFrame] | None = None) -> DataFrame:
+    """Landed pages and tables to one row per new or unfinished offer; `quarantine` has the pages that are missing here."""
+    pages = {kind: split_errors(held)[0] for kind, held in (parsed or parsed_pages(landing)).items()}
+    listed = refresh_filter(listed_companies(pages["lists"]), store)
     links = pick_links(landing.offers.select("url", "html"))
     offers = _attach_once(listed, links, "Company_info_url", "url")
-    offers = _attach_once(offers, offer_details(_readable(landing.offers)), "Company_info_url", "detail_url")
-    offers = _attach_once(offers, offer_reviews(_readable(landing.reviews)), "review_link", "review_url")
-    offers = _attach_once(offers, offer_subscriptions(_readable(landing.subscriptions)), "subsc_link", "sbscrp_url")
-    offers = _attach_once(offers, offer_prices(_readable(landing.prices)), "gmp_link", "grmkpt_url")
+    offers = _attach_once(offers, offer_details(pages["offers"]), "Company_info_url", "detail_url")
+    offers = _attach_once(offers, offer_reviews(pages["reviews"]), "review_link", "review_url")
+    offers = _attach_once(offers, offer_subscriptions(pages["subscriptions"]), "subsc_link", "sbscrp_url")
+    offers = _attach_once(offers, offer_prices(pages["prices"]), "gmp_link", "grmkpt_url")
     offers = offers.drop("review_link", "subsc_link").withColumnsRenamed({"rhp_link": "IPO_RHP_doc", "gmp_link": "IPO_gmp_link"})
     return listing_prices(with_profiles(offers, landing), landing.instruments, landing.candles)
 
@@ -149,8 +173,14 @@ def with_profiles(offers: DataFrame, landing: Landing) -> DataFrame:
 
 
 def transform(extracted: DataFrame, drop_sme: bool = True) -> DataFrame:
-    """Extracted offers to the stored schema."""
+    """Extracted offers to the stored schema.
+
+    A series is taken from the column `SERIES`, or from day columns. Offers whose series is longer than the stored columns, its leading
+    zeros aside, are left to `too_long`.
+    """
     out = squeeze_subscriptions(extracted)
+    if SERIES in out.columns:
+        out = columns_from_trimmed(out.filter(fits_columns(SERIES)), SERIES)
     out = out.withColumn("gmp_company_name", existing(out, "company_long_name"))
     out = out.withColumn(
         "IPO_listing_gain_percentage",
@@ -161,14 +191,26 @@ def transform(extracted: DataFrame, drop_sme: bool = True) -> DataFrame:
     return drop_value(out, "Security_type", "SME") if drop_sme else out
 
 
+def too_long(extracted: DataFrame) -> DataFrame:
+    """Extracted offers whose price series does not fit the stored columns."""
+    return extracted.filter(~fits_columns(SERIES))
+
+
 def load(store: Store, transformed: DataFrame) -> str:
-    """Upsert by company name."""
-    return store.upsert(last_per_key(transformed, store.keys, store.keys))
+    """Upsert by company name. Of several offers with one name that with the latest dates counts."""
+    return store.upsert(last_per_key(transformed, store.keys, LATEST))
+
 
+def refresh(landing: Landing, store: Store, extract_path: str, transform_path: str, quarantine_path: str | None = None) -> str:
+    """The whole chain; each stage is written once, and the next one starts from the written table.
 
-def refresh(landing: Landing, store: Store, extract_path: str, transform_path: str) -> str:
-    """The whole chain; each stage is written once, and the next one starts from the written table."""
+    Pages that could not be read and offers that do not fit the store are written below `quarantine_path`, `pages` and `offers`.
+    """
     spark = store.spark
-    extract(landing, store.read()).write.mode("overwrite").parquet(extract_path)
+    quarantine_path = quarantine_path or f"{extract_path.rstrip('/')}-quarantine"
+    parsed = {kind: cut_lineage(pages, f"parsed-{kind}") for kind, pages in parsed_pages(landing).items()}
+    quarantine(parsed).write.mode("overwrite").parquet(f"{quarantine_path}/pages")
+    extract(landing, store.read(), parsed).write.mode("overwrite").parquet(extract_path)
+    too_long(spark.read.parquet(extract_path)).write.mode("overwrite").parquet(f"{quarantine_path}/offers")
     transform(spark.read.parquet(extract_path)).write.mode("overwrite").parquet(transform_path)
     return load(store, spark.read.parquet(transform_path))

@@ -38,6 +38,7 @@ LINK_TYPE = T.StructType(
         T.StructField("text", T.StringType()),
         T.StructField("href", T.StringType()),
         T.StructField("struck", T.BooleanType()),
+        T.StructField("in_body", T.BooleanType()),
     ]
 )
 TABLE_TYPE = T.StructType(
@@ -126,6 +127,7 @@ class _PageReader:
                 "text": "",
                 "href": _href(attrs),
                 "struck": False,
+                "in_body": in_row and not table["head"] and table["cell"][0] == "td",
             }
             if in_row:
                 self.links.append(self.link)
@@ -290,8 +292,8 @@ def first_external_link(
 
 
 def listed_companies(parsed: DataFrame, url: str = "url") -> DataFrame:
-    """Rows of a list page: name, link and category. Rows whose first link is struck out are left out."""
-    links = parsed.select(url, F.explode("row_links").alias("link"))
+    """Rows of a list page's table bodies: name, link and category. Rows whose first link is struck out are left out."""
+    links = parsed.select(url, F.explode(F.filter("row_links", lambda link: link["in_body"])).alias("link"))
     rows = links.groupBy(url, F.col("link.table_no"), F.col("link.row_no")).agg(
         F.bool_or(F.col("link.struck") & (F.col("link.col_no") == 0)).alias("struck"),
         F.min_by(F.struct("link.text", "link.href"), F.struct("link.col_no", "link.text", "link.href")).alias("first"),
@@ -406,17 +408,32 @@ def _under(header: str) -> Column:
 
 
 def subscription_rows(parsed: DataFrame, url: str = "url") -> DataFrame:
-    """Subscription tables in long form: url, day, date text, metric, value text; the last table wins."""
+    """Subscription tables in long form: url, day, date text, metric, value text; the last table wins.
+
+    Labels whose number is none that a day can have are left out here and named by `unreadable_days`.
+    """
     cells = _cells(parsed, "sbscrp", url).withColumn("_date", _under("Date"))
     label = F.nullif(F.regexp_extract("_date", DAY_LABEL_PATTERN, 1), F.lit(""))
     named = cells.withColumn("_label", label).filter((F.col("header") != "Date") & F.col("_label").isNotNull())
     date = F.trim(F.regexp_replace("_date", DAY_LABEL_TEXT, ""))
-    day = F.regexp_extract("_label", r"(\d+)", 1).cast("int")
-    return named.groupBy(F.col(url).alias("sbscrp_url"), day.alias("day"), F.col("header").alias("metric")).agg(
+    day = _label_day("_label")
+    return named.filter(day.isNotNull()).groupBy(F.col(url).alias("sbscrp_url"), day.alias("day"), F.col("header").alias("metric")).agg(
         F.max_by(F.struct(date.alias("date"), F.col("text").alias("value")), F.struct("table_no", "row_no")).alias("_last")
     ).select("sbscrp_url", "day", F.col("_last.date").alias("date_text"), "metric", F.col("_last.value").alias("value"))
 
 
+def _label_day(label: str) -> Column:
+    return F.regexp_extract(label, r"(\d+)", 1).try_cast("int")
+
+
+def unreadable_days(parsed: DataFrame, url: str = "url") -> DataFrame:
+    """(url, error) of subscription pages with a day label whose number cannot be read."""
+    label = F.nullif(F.regexp_extract(_under("Date"), DAY_LABEL_PATTERN, 1), F.lit(""))
+    labels = _cells(parsed, "sbscrp", url).select(url, label.alias("_label")).filter("_label IS NOT NULL")
+    odd = labels.filter(_label_day("_label").isNull())
+    return odd.groupBy(url).agg(F.concat(F.lit("day label: "), F.min("_label")).alias("error"))
+
+
 def price_rows(parsed: DataFrame, url: str = "url", metric: str = "GMP") -> DataFrame:
     """Grey-market tables in long form: url, day number (place of the row), date text, price text."""
     cells = _cells(parsed, "grmkpt", url).filter(F.col("header") == metric)

@@ -9,7 +9,8 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from debutline.operators.match import refresh_filter
-from debutline.plans.extract import transform
+from debutline.operators.merge import last_per_key
+from debutline.plans.extract import LATEST, transform
 from debutline.sources.store import Store
 
 
@@ -48,12 +49,12 @@ def refresh_stream(
 def offering_refresh(spark: SparkSession, landing: str, schema: T.StructType, store: Store, checkpoint: str) -> StreamingQuery:
     """Landed extract rows: keep new and unfinished offers, transform them, merge them by name.
 
-    Each batch holds an offer once, as one extract run delivers it.
+    Of several rows of one offer in a batch that with the latest dates counts.
     """
 
     def prepare(batch: DataFrame) -> DataFrame:
         wanted = batch.select("Company_name", "IPO_category").dropDuplicates()
         names = refresh_filter(wanted, store.read()).select("Company_name")
-        return transform(batch.join(names, "Company_name", "left_semi")).dropDuplicates(store.keys)
+        return last_per_key(transform(batch.join(names, "Company_name", "left_semi")), store.keys, LATEST)
 
     return refresh_stream(spark, landing, schema, store, checkpoint, prepare)

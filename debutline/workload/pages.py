@@ -11,27 +11,29 @@ from pyspark.sql import functions as F
 
 from debutline.functions.dates import date_text
 from debutline.functions.text import searched_name, search_url
-from debutline.operators.reshape import long_from_pairs, pairs_from_columns
-from debutline.plans.extract import offer_details, offer_prices, offer_reviews, offer_subscriptions
+from debutline.operators.reshape import long_from_pairs
+from debutline.plans.extract import PAGE_KINDS, SERIES, offer_details, offer_prices, offer_reviews, offer_subscriptions, quarantine
 from debutline.sources import markup
 from debutline.workload.tables import orders, table
 
+EXTERNAL = '<p><a href="https://other.example.net/la">la</a><a href="https://other.example.net/second">la</a>'
 LINKS = {"the": ("the_link", "internal"), "de": ("de_link", "internal"), "in": ("in_link", "internal"), "la": ("la_link", "external")}
 
 
 def link_pick(spark: SparkSession, folder: str) -> DataFrame:
-    """First link of each page for four anchor texts, one of them wanted on other hosts only."""
-    pages = table(spark, folder, "pages")
+    """First link of each page for four anchor texts, one of them wanted on other hosts only; some pages get such a link."""
+    more = F.when(F.contains("url", F.lit("/en/")), F.lit(EXTERNAL)).otherwise("")
+    pages = table(spark, folder, "pages").withColumn("html", F.concat("html", more))
     return markup.pick_links(pages, kinds=LINKS).select("page_id", *[name for name, _ in LINKS.values()])
 
 
 LINK_SQL = """
 WITH a AS (
-  SELECT page_id, regexp_extract_all(regexp_replace(html, '<!--.*?-->', '', 'gs'), '(?s)<a href="([^"]*)">([^<]*)</a>', 2) AS texts,
+  SELECT page_id, url, regexp_extract_all(regexp_replace(html, '<!--.*?-->', '', 'gs'), '(?s)<a href="([^"]*)">([^<]*)</a>', 2) AS texts,
          regexp_extract_all(regexp_replace(html, '<!--.*?-->', '', 'gs'), '(?s)<a href="([^"]*)">([^<]*)</a>', 1) AS hrefs
   FROM pages)
 SELECT page_id, hrefs[list_position(texts, 'the')] AS the_link, hrefs[list_position(texts, 'de')] AS de_link,
-  hrefs[list_position(texts, 'in')] AS in_link, CAST(NULL AS VARCHAR) AS la_link
+  hrefs[list_position(texts, 'in')] AS in_link, CASE WHEN contains(url, '/en/') THEN 'https://other.example.net/la' END AS la_link
 FROM a
 """
 
@@ -81,13 +83,8 @@ def _html(*parts: str | Column) -> Column:
     return F.concat(*[F.lit(part) if isinstance(part, str) else F.coalesce(part.cast("string"), F.lit("")) for part in parts])
 
 
-def _spread(df: DataFrame) -> DataFrame:
-    """Deal the narrow input rows out before pages are written from them, so that parsing runs in parallel."""
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
-
-
 def _order_pages(spark: SparkSession, folder: str, html: Column) -> DataFrame:
-    pages = _spread(orders(spark, folder)).withColumn("_url", F.concat(F.lit("https://offers.example.org/o/"), "o_orderkey"))
+    pages = orders(spark, folder).withColumn("_url", F.concat(F.lit("https://offers.example.org/o/"), "o_orderkey"))
     return pages.select(F.col("_url").alias("url"), html.alias("html"))
 
 
@@ -106,7 +103,7 @@ def detail_pages(spark: SparkSession, folder: str) -> DataFrame:
         *row("Issue Price", F.when(F.col("o_orderstatus") == "P", F.lit("[.]")).otherwise(F.concat(F.lit("₹"), F.floor(F.col("o_totalprice") / 100), F.lit(" per share")))),
         "<tr><td>Price Band<td>₹95 to ₹", F.col("o_custkey"), ".00 per share",
         *row("Lot Size", F.col("o_orderkey") + 1, " Shares"),
-        *row("Total Issue Size", "1,000 shares (aggregating up to ₹1,", F.length("o_orderstatus"), "00.25 Cr)"),
+        *row("Total Issue Size", "1,000 shares (aggregating up to ₹1,", F.lpad((F.col("o_custkey") % 1000).cast("string"), 3, "0"), ".25 Cr)"),
         "</tbody></table><div><ul><li><span>IPO Open Date</span> <span>", F.date_format("day", "EEE, MMM d, yyyy"),
         "</span></li><li><span>Tentative Listing Date</span><span>", F.date_format(listed, "EEE, MMM d, yyyy"), "</span></ul></div>",
     )
@@ -121,7 +118,7 @@ SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS IPO_open_date,
   strftime(o_orderdate + INTERVAL 7 DAY, '%Y-%m-%d') AS IPO_list_date,
   CAST(length(o_orderpriority) AS DOUBLE) AS IPO_face_value,
   CAST(CASE WHEN o_orderstatus = 'P' THEN o_custkey ELSE floor(o_totalprice / 100) END AS DOUBLE) AS IPO_issue_price,
-  CAST(o_orderkey + 1 AS DOUBLE) AS IPO_lot_size, 1100.25 AS IPO_issue_size
+  CAST(o_orderkey + 1 AS DOUBLE) AS IPO_lot_size, 1000.25 + o_custkey % 1000 AS IPO_issue_size
 FROM orders
 """
 
@@ -153,60 +150,62 @@ FROM orders
 
 
 def subscription_pages(spark: SparkSession, folder: str) -> DataFrame:
-    """Subscription pages of three days; a second table overwrites the first day."""
+    """Subscription pages of four days; a second table overwrites the first day, and one label is no day at all."""
     head = "<tr><th>Date</th><th>QIB</th><th>NII*</th><th>Retail</th><th>Total</th></tr>"
     when = lambda number: F.date_format(F.date_add("day", number), "MMM d, yyyy")
-    line = lambda number, *values: ("<tr><td>Day ", str(number), " <br>", when(number), "</td>", *[p for v in values for p in ("<td>", v, "</td>")], "<td>1</td></tr>")
+    line = lambda number, *values: ("<tr><td>Day ", str(number), " <br>", when(min(number, 11)), "</td>", *[p for v in values for p in ("<td>", v, "</td>")], "<td>1</td></tr>")
     price = F.format_string("%.2f", "o_totalprice")
     html = _html(
-        "<table>", head, *line(1, "7", "7", "7"), *line(2, price, "-", F.col("o_custkey")), *line(3, F.col("o_orderkey"), "1,234.5", "0"), "</table>",
+        "<table>", head, *line(1, "7", "7", "7"), *line(2, price, "-", F.col("o_custkey")), *line(3, F.col("o_orderkey"), "1,234.5", "0"), *line(11, F.col("o_custkey") + 1, "-", "-"), *line(99999999999, "1", "1", "1"), "</table>",
         "<table>", head, *line(1, F.col("o_custkey"), price, "n/a"), "</table>",
     )
     out = offer_subscriptions(markup.parse_pages(_order_pages(spark, folder, html)))
-    names = [f"IPO_day{day}_{metric}" for day in (1, 2, 3, 4) for metric in ("qib", "nii", "rtl")]
+    names = [f"IPO_day{day}_{metric}" for day in (1, 2, 3) for metric in ("qib", "nii", "rtl")]
     return out.select(_key("sbscrp_url"), *names)
 
 
 SUBSCRIPTION_SQL = """
 SELECT o_orderkey, CAST(o_custkey AS DOUBLE) AS IPO_day1_qib, CAST(printf('%.2f', o_totalprice) AS DOUBLE) AS IPO_day1_nii, CAST(NULL AS DOUBLE) AS IPO_day1_rtl,
-  CAST(printf('%.2f', o_totalprice) AS DOUBLE) AS IPO_day2_qib, CAST(NULL AS DOUBLE) AS IPO_day2_nii, CAST(o_custkey AS DOUBLE) AS IPO_day2_rtl,
-  CAST(o_orderkey AS DOUBLE) AS IPO_day3_qib, 1234.5::DOUBLE AS IPO_day3_nii, 0.0::DOUBLE AS IPO_day3_rtl,
-  CAST(NULL AS DOUBLE) AS IPO_day4_qib, CAST(NULL AS DOUBLE) AS IPO_day4_nii, CAST(NULL AS DOUBLE) AS IPO_day4_rtl
+  CAST(o_orderkey AS DOUBLE) AS IPO_day2_qib, 1234.5::DOUBLE AS IPO_day2_nii, CAST(o_custkey AS DOUBLE) AS IPO_day2_rtl,
+  CAST(o_custkey + 1 AS DOUBLE) AS IPO_day3_qib, 1234.5::DOUBLE AS IPO_day3_nii, 0.0::DOUBLE AS IPO_day3_rtl
 FROM orders
 """
 
 
 def price_pages(spark: SparkSession, folder: str) -> DataFrame:
-    """Price pages with the newest day on top, read into series with the oldest day first."""
+    """Price pages of 44 days with the newest on top, read into series with the oldest day first."""
     head = "<thead><tr><th>GMP Date</th><th>IPO Price</th><th>GMP</th></tr></thead>"
     when = lambda number: F.date_format(F.date_add("day", number), "d-MM-yyyy")
     line = lambda date, price: ("<tr><td>", date, " open</td><td>100</td><td>₹", price, "</td></tr>")
     html = _html(
-        "<table>", head, "<tbody>", *line(when(2), F.col("o_custkey")), *line("soon", "5"), *line(when(1), F.lit("1,005")), *line(when(0), F.lit("--")), "</tbody></table>"
+        "<table>", head, "<tbody>", *line(when(2), F.col("o_custkey")), *line("soon", "5"), *line(when(1), F.lit("1,005")), *line(when(0), F.lit("--")),
+        *[part for back in range(1, 41) for part in line(when(-back), F.lit(str(back)))], "</tbody></table>",
     )
     out = offer_prices(markup.parse_pages(_order_pages(spark, folder, html)))
-    pairs = long_from_pairs(pairs_from_columns(out), ["grmkpt_url"]).filter("date IS NOT NULL OR price IS NOT NULL")
+    pairs = long_from_pairs(out, ["grmkpt_url"], SERIES)
     return pairs.select(_key("grmkpt_url"), "day", date_text("date").alias("date"), "price")
 
 
 PRICE_SQL = """
 WITH d AS (SELECT o_orderkey, o_orderdate AS a, CAST(o_custkey AS DOUBLE) AS p FROM orders)
-SELECT o_orderkey, 1 AS day, strftime(a, '%Y-%m-%d') AS date, CAST(NULL AS DOUBLE) AS price FROM d
-UNION ALL SELECT o_orderkey, 2, strftime(a + INTERVAL 1 DAY, '%Y-%m-%d'), 1005.0 FROM d
-UNION ALL SELECT o_orderkey, 3, strftime(a + INTERVAL 2 DAY, '%Y-%m-%d'), p FROM d
-UNION ALL SELECT o_orderkey, 4, NULL, 5.0 FROM d
+SELECT o_orderkey, CAST(41 - back AS INTEGER) AS day, strftime(a - to_days(CAST(back AS INTEGER)), '%Y-%m-%d') AS date, CAST(back AS DOUBLE) AS price
+FROM d CROSS JOIN (SELECT unnest(range(1, 41)) AS back)
+UNION ALL SELECT o_orderkey, 41, strftime(a, '%Y-%m-%d'), NULL FROM d
+UNION ALL SELECT o_orderkey, 42, strftime(a + INTERVAL 1 DAY, '%Y-%m-%d'), 1005.0 FROM d
+UNION ALL SELECT o_orderkey, 43, strftime(a + INTERVAL 2 DAY, '%Y-%m-%d'), p FROM d
+UNION ALL SELECT o_orderkey, 44, NULL, 5.0 FROM d
 """
 
 
 def list_pages(spark: SparkSession, folder: str) -> DataFrame:
-    """List pages, one per customer: two companies, the second struck out when the customer is in debt."""
+    """List pages, one per customer: two companies, the second struck out when the customer is in debt; headings hold links."""
     link = lambda name, before="", after="": ("<tr><td><div><a href='https://o.example.org/", F.col("c_custkey"), "/", name, "'>", before, F.col("c_name"), " ", name, " Ltd. IPO", after, "</a></div></td><td><a href='/x'>x</a></td></tr>")
     html = F.when(
         F.col("c_acctbal") < 0,
-        _html("<div><table><thead><tr><th>Company</th></tr></thead><tbody>", *link("one"), *link("two", "<del>", "</del>"), "</tbody></table></div>"),
-    ).otherwise(_html("<div><table><tbody>", *link("one"), *link("two"), "</tbody></table></div>"))
+        _html("<div><table><thead><tr><th><a href='/sort'>Company</a></th></tr><tr><td><a href='/all'>All</a></td></tr></thead><tbody>", *link("one"), *link("two", "<del>", "</del>"), "</tbody></table></div>"),
+    ).otherwise(_html("<div><table><tbody><tr><th><a href='/sort'>Company</a></th></tr>", *link("one"), *link("two"), "</tbody></table></div>"))
     folder_name = F.when(F.col("c_mktsegment") == "BUILDING", "sme").otherwise("mainboard")
-    pages = _spread(table(spark, folder, "customer")).select(
+    pages = table(spark, folder, "customer").select(
         F.concat(F.lit("https://lists.example.org/"), "c_custkey", F.lit("/"), folder_name, F.lit("/?year=2025")).alias("url"), html.alias("html")
     )
     return markup.listed_companies(markup.parse_pages(pages))
@@ -220,6 +219,25 @@ FROM customer, k WHERE w = 'one' OR c_acctbal >= 0
 """
 
 
+def page_quarantine(spark: SparkSession, folder: str) -> DataFrame:
+    """Subscription pages of all orders: pages without text and labels that are no day are named, good ones are not."""
+    html = F.when(F.col("o_orderstatus") == "O", F.lit(None).cast("string")).otherwise(
+        _html(
+            "<table><tr><th>Date</th><th>QIB</th></tr><tr><td>Day ", F.when(F.col("o_orderstatus") == "P", F.lit("99999999999")).otherwise("11"),
+            "</td><td>", F.col("o_custkey"), "</td></tr></table><p", F.when(F.col("o_custkey") % 2 == 0, F.lit(">")),
+        )
+    )
+    empty = spark.createDataFrame([], "url string, html string")
+    parsed = {kind: markup.parse_pages(empty) for kind in PAGE_KINDS} | {"subscriptions": markup.parse_pages(_order_pages(spark, folder, html))}
+    return quarantine(parsed).select(_key("url"), "kind", F.regexp_replace("error", ":.*", "").alias("problem"))
+
+
+QUARANTINE_SQL = """
+SELECT o_orderkey, 'subscriptions' AS kind, CASE WHEN o_orderstatus = 'O' THEN 'TypeError' ELSE 'day label' END AS problem
+FROM orders WHERE o_orderstatus IN ('O', 'P')
+"""
+
+
 def profile_pick(spark: SparkSession, folder: str) -> DataFrame:
     """Profile columns from three links per part, whose second link is on either exchange or on none."""
     bse = F.concat(F.lit("https://www.bseindia.com/stock-share-price/"), F.when(F.col("p_size") < 25, "some-part/").otherwise("x/"), F.col("p_brand"), F.lit("/"), F.col("p_partkey"), F.lit("/"))
@@ -256,5 +274,6 @@ CASES = {
     "review_pages": (review_pages, REVIEW_SQL),
     "subscription_pages": (subscription_pages, SUBSCRIPTION_SQL),
     "price_pages": (price_pages, PRICE_SQL),
+    "page_quarantine": (page_quarantine, QUARANTINE_SQL),
     "profile_pick": (profile_pick, PROFILE_SQL),
 }

@@ -151,12 +151,12 @@ FROM n JOIN f ON f.user_id = n.user_id WHERE n.r >= first
 
 
 def squeeze_columns(spark: SparkSession, folder: str) -> DataFrame:
-    """Long metric rows to day columns, then any number of days to three."""
+    """Long metric rows of any number of days to three day columns, which a second squeeze leaves as they are."""
     rows = events(spark, folder).groupBy("user_id", (F.dayofweek("day")).alias("day"), F.col("event_type")).agg(
         F.max("value").alias("value")
     )
     names = {"view": "qib", "click": "nii", "purchase": "rtl"}
-    wide = reshape.subscription_columns(rows, ["user_id"], "day", "event_type", "value", names, 7)
+    wide = reshape.subscription_columns(rows, ["user_id"], "day", "event_type", "value", names)
     return reshape.squeeze_subscriptions(wide)
 
 

@@ -52,19 +52,20 @@ FROM events
 
 
 def csv_round(spark: SparkSession, folder: str) -> DataFrame:
-    """All documents' lines of description through a CSV file and back, quotes and commas included."""
+    """All documents, whole texts with their line breaks, through a CSV file and back, quotes and commas included."""
     path = scratch_path(spark, "csv")
     rows = table(spark, folder, "documents").select(
-        "doc_id", F.concat(F.lit('"'), "lang", F.lit('", '), "source").alias("tag"), F.when(F.col("n_chars") > 500, F.col("n_chars").cast("string")).otherwise("error").alias("n_chars")
+        "doc_id", F.concat(F.lit('"'), "lang", F.lit('", '), "source").alias("tag"), F.when(F.col("n_chars") > 500, F.col("n_chars").cast("string")).otherwise("error").alias("n_chars"), "text"
     )
     write_csv(rows, path)
-    types = {"doc_id": T.LongType(), "tag": T.StringType(), "n_chars": T.DoubleType()}
+    types = {"doc_id": T.LongType(), "tag": T.StringType(), "n_chars": T.DoubleType(), "text": T.StringType()}
     text = T.StructType([T.StructField(name, T.StringType()) for name in types])
-    return clean_stored(read_csv_text(spark, path, text), types).select("doc_id", "tag", "n_chars")
+    return clean_stored(read_csv_text(spark, path, text), types).select("doc_id", "tag", "n_chars", F.md5("text").alias("text_md5"), F.length("text").alias("text_chars"))
 
 
 CSV_SQL = """
-SELECT doc_id, '"' || lang || '", ' || source AS tag, CASE WHEN n_chars > 500 THEN CAST(n_chars AS DOUBLE) END AS n_chars FROM documents
+SELECT doc_id, '"' || lang || '", ' || source AS tag, CASE WHEN n_chars > 500 THEN CAST(n_chars AS DOUBLE) END AS n_chars,
+  md5(text) AS text_md5, CAST(length(text) AS INTEGER) AS text_chars FROM documents
 """
 
 

@@ -115,16 +115,38 @@ def test_conform_and_matching_days(spark):
     assert [row[0] for row in kept.collect()] == ["QIB", "QIB (Ex Anchor)", "NII*"]
 
 
-def test_subscription_day_above_limit_raises(spark):
-    df = spark.createDataFrame([("u", 11, "QIB", 1.0)], "url string, day int, metric string, value double")
-    with pytest.raises(Exception, match="above the limit"):
-        reshape.subscription_columns(df, ["url"]).collect()
+def test_subscriptions_of_many_days(spark):
+    found = [("u", day, "QIB", float(day)) for day in (2, 11, 400, 3)] + [("u", 1, "NII", 5.0), ("u", 9, "NII", None)]
+    df = spark.createDataFrame(found, "url string, day int, metric string, value double")
+    row = reshape.subscription_columns(df, ["url"]).first()
+    assert [row[f"IPO_day{d}_qib"] for d in (1, 2, 3)] == [None, 11.0, 400.0]
+    assert [row[f"IPO_day{d}_nii"] for d in (1, 2, 3)] == [5.0, None, None]
+
+
+def test_long_series_are_never_cut(spark):
+    days = [(dt.date(2025, 1, 1) + dt.timedelta(days=k), float(k >= 10)) for k in range(44)]
+    df = spark.createDataFrame([("long", days[5:]), ("short", days[:43]), ("zero", [(d, 0.0) for d, _ in days])], "k string, s array<struct<date:date,price:double>>")
+    fit = {row["k"]: row["fits"] for row in df.select("k", reshape.fits_columns("s").alias("fits")).collect()}
+    assert fit == {"long": False, "short": True, "zero": True}
+    wide = reshape.columns_from_trimmed(df.filter(reshape.fits_columns("s")), "s").filter("k = 'short'").first()
+    assert wide["day1_date"] == days[10][0] and wide["day33_date"] == days[42][0]
+    with pytest.raises(Exception, match="44 days"):
+        reshape.columns_from_pairs(df.filter("k = 'zero'"), "s").collect()
+
+
+def test_a_key_given_twice_needs_an_order(spark):
+    stored = spark.createDataFrame([("a", 1)], "k string, v int")
+    twice = spark.createDataFrame([("a", 2), ("a", 3), ("b", 4)], "k string, v int")
+    with pytest.raises(Exception, match="several rows"):
+        merge.upsert(stored, twice, ["k"]).collect()
+    assert rows(merge.upsert(stored, twice, ["k"], ["v"])) == [("a", 3), ("b", 4)]
+    assert rows(merge.upsert(stored, twice.filter("v <> 2"), ["k"])) == [("a", 3), ("b", 4)]
 
 
 def test_first_listed_metric_name_counts(spark):
     found = [("u", 1, "QIB (Ex Anchor)", 9.0), ("u", 1, "QIB", 3.0), ("u", 2, "QIB", None), ("u", 2, "QIB (Ex Anchor)", 4.0), ("u", 2, "Other", 1.0)]
     df = spark.createDataFrame(found, "url string, day int, metric string, value double")
-    row = reshape.subscription_columns(df, ["url"], max_day=2).first()
+    row = reshape.subscription_columns(df, ["url"]).first()
     assert (row["IPO_day1_qib"], row["IPO_day2_qib"], row["IPO_day2_nii"]) == (3.0, 4.0, None)
 
 
