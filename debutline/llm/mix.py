@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from debutline.llm.shared import cut_lineage, numbered
+from debutline.llm.shared import cut_lineage, numbered, picked
 
 WEIGHTS = (1, 2, 3)
 MOST_REPEATS = 3
@@ -168,9 +168,13 @@ def mix(documents: DataFrame, doc_id: str = "doc_id", source: str = "source", te
 
 
 def mixed(documents: DataFrame, doc_id: str = "doc_id", source: str = "source", text: str = "text", **options) -> DataFrame:
-    """The mix itself: the rows of `documents`, each as often as it is taken. `_row`, `_times` and `_copy` may not be in use."""
-    held = cut_lineage(documents.withColumn("_row", F.monotonically_increasing_id()), "mix-rows")
-    units = cut_lineage(held.select(F.col(doc_id).alias("key"), F.col(source).alias("source"), word_count(text).alias("size"), "_row"), "units")
-    taken = drawn(units, source_targets(units), **options).where("repeats > 0").select("_row", F.col("repeats").alias("_times"))
-    names = [f"`{name}`" for name in documents.columns]
-    return held.join(taken, "_row").select(*names, F.explode(F.sequence(F.lit(1), F.col("_times"))).alias("_copy")).drop("_copy")
+    """The mix itself: the rows of `documents`, each as often as it is taken.
+
+    Repeated rows (alike in id, source and text) are drawn one by one, and come out as copies of one of them.
+    """
+    light = documents.select(F.col(doc_id).alias("key"), F.col(source).alias("source"), word_count(text).alias("size"), F.xxhash64(text).alias("_hash"))
+    units = cut_lineage(light, "units")
+    taken = drawn(units.withColumn("_from", F.col("source")), source_targets(units), **options)
+    chosen = taken.groupBy("key", "_from", "_hash").agg(F.sum("repeats").alias("_times"), F.count("*").alias("_rows")).where("_times > 0")
+    chosen = chosen.select(F.col("key").alias(doc_id), F.col("_from").alias(source), "_hash", "_times", "_rows")
+    return picked(documents, cut_lineage(chosen, "taken"), text, [doc_id, source])

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from debutline.session import cut_lineage, scratch_path
 
-__all__ = ["cut_lineage", "scratch_path", "table", "text_bytes", "shards", "id_text", "in_order", "numbered"]
+__all__ = ["cut_lineage", "scratch_path", "table", "text_bytes", "shards", "id_text", "in_order", "numbered", "picked"]
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -71,5 +71,26 @@ def numbered(rows: DataFrame, by: list[Column], name: str, tasks: int | None = N
     return held.withColumn(name, F.element_at(first, range_of.cast("int" if all(p < 2**31 for p in starts) else "long")) + in_range).drop("_at")
 
 
+def picked(documents: DataFrame, chosen: DataFrame, text: str, keys: list[str]) -> DataFrame:
+    """The rows of `documents` that `chosen` names, each `_times` times.
+
+    `chosen` has a row per (keys, `_hash`), with `_hash` the xxhash64 of the text, and `_rows`, how many rows of `documents` that is. Repeated rows
+    (alike in keys and text) are one row, taken `_times` times; only those are brought together. Texts are shuffled once, and no copy
+    of the documents is written.
+    """
+    names = [f"`{name}`" for name in documents.columns]
+    chosen = chosen.select(*[F.col(key).alias(f"_key_{at}") for at, key in enumerate(keys)], F.col("_hash").alias("_of"), "_times", "_rows")
+    hashed = documents.withColumn("_hash", F.xxhash64(text))
+    on = F.col("_hash") == F.col("_of")
+    for at, key in enumerate(keys):
+        on = on & F.col(f"`{key}`").eqNullSafe(F.col(f"_key_{at}"))
+    held = hashed.join(chosen, on)
+    out = held.where("_rows = 1").select(*names, "_times")
+    if not chosen.where("_rows > 1").isEmpty():
+        again = held.where("_rows > 1").dropDuplicates([*(f"_key_{at}" for at in range(len(keys))), "_of"])
+        out = out.unionAll(again.select(*names, "_times"))
+    return out.select(*names, F.explode(F.sequence(F.lit(1), F.col("_times").cast("int"))).alias("_copy")).drop("_copy")
+
+
 def in_order(*columns: str) -> list[Column]:
     return [F.col(name).asc_nulls_last() for name in columns]

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from debutline.llm.components import components
-from debutline.llm.shared import cut_lineage
+from debutline.llm.shared import cut_lineage, picked
 
 BITS = 3
 WORDS = 3
@@ -248,13 +248,11 @@ def keep_one(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", *
     """`documents` with one row of each component: that with the least id.
 
     Of rows with that same id (repeated rows, or an id given twice) the one with the least text hash stays; of equal ones, one.
-    A component of rows without ids keeps the one with the least text hash.
+    A component of rows without ids keeps the one with the least text hash. Names that `shared.picked` uses may not be in use.
     """
-    marked = documents.select("*", F.monotonically_increasing_id().alias("_row"))
-    held = cut_lineage(marked, "rows")
-    prints = fingerprints(held.select("_row", F.col(doc_id).alias("_id"), F.xxhash64(text).alias("_hash"), F.col(text).alias("_t")), "_t")
-    prints = cut_lineage(prints, "prints")
+    light = documents.select(F.col(doc_id).alias("_id"), F.xxhash64(text).alias("_hash"), F.col(text).alias("_t"))
+    prints = cut_lineage(fingerprints(light, "_t").groupBy("_id", "_hash", "_fingerprint").agg(F.count("*").alias("_rows")), "prints")
     groups = near_groups(prints, "_id", **options)
-    first = F.min(F.struct(F.col("_id").isNull().alias("no_id"), "_id", "_hash", "_row"))
-    kept = prints.join(groups, "_fingerprint").groupBy("root").agg(first.alias("first")).select(F.col("first._row").alias("_row"))
-    return held.join(kept, "_row", "left_semi").drop("_row")
+    first = F.min(F.struct(F.col("_id").isNull().alias("no_id"), "_id", "_hash", "_rows")).alias("first")
+    kept = prints.join(groups, "_fingerprint").groupBy("root").agg(first).select(F.col("first._id").alias(doc_id), "first._hash", "first._rows", F.lit(1).alias("_times"))
+    return picked(documents, cut_lineage(kept, "kept"), text, [doc_id])

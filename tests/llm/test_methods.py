@@ -194,8 +194,11 @@ def test_mix(spark):
     for (target, source_size), part in got.groupby(["target", "source_size"]):
         assert part["size"].sum() == source_size
         assert abs(part.taken.sum() - target) <= part["size"].max() / 2  # some sources are a few long texts
-    whole = mix.mixed(table, block_units=64)
-    assert whole.columns == table.columns and mix.mixed(table.limit(0)).count() == 0
+    whole = mix.mixed(table, block_units=64, spread=4)
+    seen = whole.select("doc_id", F.coalesce(F.regexp_count("text", F.lit("w|a|b")), F.lit(0)).alias("n")).toPandas()
+    assert whole.columns == table.columns and seen.n.sum() == got.taken.sum()
+    assert seen.doc_id.value_counts().to_dict() == {k: n for k, n in got.groupby("doc_id").repeats.sum().items() if n > 0}
+    assert mix.mixed(table.limit(0)).count() == 0
 
 
 def test_flight_keeps_the_totals():
