@@ -11,6 +11,7 @@ and only then unframed.
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 import re
 from collections.abc import Iterator
@@ -142,13 +143,24 @@ def write(pages: DataFrame, folder: str, page_id: str = "page_id", url: str = "u
 
     records = held.join(again, "row", "left").select("row", "id", "url", "html", "of").mapInArrow(scan, "value binary")
     # the writer takes bytes as they are; a task's own records go to files of `records_per_file`
-    records.select(F.col("value").cast("string")).write.option("lineSep", _END).option("maxRecordsPerFile", records_per_file).text(folder)
+    records.select(F.col("value").cast("string")).write.option("lineSep", _END).option("maxRecordsPerFile", records_per_file).option("compression", "gzip").text(folder)
 
 
-_FIELDS = "name string, page string, kind string, refers_to string, digest string, payload binary, problem string"
+_FIELDS = {"name": pa.string(), "page": pa.string(), "kind": pa.string(), "refers_to": pa.string(), "digest": pa.string(), "bytes": pa.int64(), "payload": pa.binary(), "problem": pa.string()}
+_PARTS = {"number": pa.int32(), "total": pa.int64()}
+_KINDS = {pa.string(): "string", pa.int64(): "long", pa.int32(): "int", pa.binary(): "binary"}
 
 
-def _whole(name: str, kind: str, refers_to: str | None, digest: str | None, block: bytes, problem: str | None) -> tuple:
+def _schema(fields: dict[str, pa.DataType]) -> str:
+    return ", ".join(f"{name} {_KINDS[kind]}" for name, kind in fields.items())
+
+
+def _batch(rows: list[tuple], fields: dict[str, pa.DataType]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([row[k] for row in rows], kind) for k, kind in enumerate(fields.values())], names=list(fields))
+
+
+def _whole(name: str, kind: str, refers_to: str | None, digest: str | None, block: bytes, problem: str | None, keep: bool) -> tuple:
+    """A record by `_FIELDS`; the digest is compared here, so a payload need not be kept to be sure of it."""
     row, _, page = name.partition(":")
     payload = None
     if problem is None and kind != "revisit":
@@ -158,79 +170,68 @@ def _whole(name: str, kind: str, refers_to: str | None, digest: str | None, bloc
                 problem, payload = "payload digest differs", None
         except ValueError as error:
             problem = str(error)
-    return row, page or None, kind, refers_to, digest, payload, problem
+    return row, page or None, kind, refers_to, digest, None if payload is None else len(payload), payload if keep else None, problem
 
 
 def _inner(uri: str | None) -> str | None:
     return None if uri is None else uri.strip("<>").removeprefix("urn:page:")
 
 
-def _batch(rows: list[tuple]) -> pa.RecordBatch:
-    names = [part.split()[0] for part in _FIELDS.split(", ")]
-    kinds = [pa.binary() if part.split()[1] == "binary" else pa.string() for part in _FIELDS.split(", ")]
-    return pa.RecordBatch.from_arrays([pa.array([row[k] for row in rows], kind) for k, kind in enumerate(kinds)], names=names)
-
-
-def read(spark: SparkSession, folder: str) -> DataFrame:
-    """Whole records of the archives below `folder`: name, page, kind, refers_to, digest, payload (of revisits none), problem.
+def read(spark: SparkSession, folder: str, keep_payloads: bool = True) -> DataFrame:
+    """Whole records of the archives below `folder`: name, page, kind, refers_to, digest, bytes, payload (of revisits none), problem.
 
     `problem` names what is wrong with a record (a gap between segments, a wrong total length, broken framing, a wrong digest); it has no payload.
+    Archives may be packed by gzip. Only segments are shuffled.
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder).select("content")
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for content in batch.column(0):
-                rows = []
-                for fields, block in parse(content.as_py()):
-                    origin, number = fields.get("warc-segment-origin-id"), fields.get("warc-segment-number")
+                data, rows = content.as_py(), []
+                for fields, block in parse(gzip.decompress(data) if data[:2] == b"\x1f\x8b" else data):
+                    origin, number = fields.get("warc-segment-origin-id"), int(fields.get("warc-segment-number", 0))
                     digest = (fields.get("warc-payload-digest") or "").removeprefix("sha1:") or None
-                    rows.append((_inner(origin or fields["warc-record-id"]), int(number) if number else 0, fields["warc-type"], _inner(fields.get("warc-refers-to")), digest, int(fields.get("warc-segment-total-length", -1)), block))
+                    known = _inner(origin or fields["warc-record-id"]), fields["warc-type"], _inner(fields.get("warc-refers-to")), digest
+                    if number:  # as it is, to be joined
+                        rows.append((known[0], None, *known[1:], None, block, None, number, int(fields.get("warc-segment-total-length", -1))))
+                    else:
+                        rows.append((*_whole(*known, block, None, keep_payloads), 0, -1))
                     if len(rows) >= 500:
-                        yield parts(rows)
+                        yield _batch(rows, _FIELDS | _PARTS)
                         rows = []
                 if rows:
-                    yield parts(rows)
-
-    def parts(rows: list[tuple]) -> pa.RecordBatch:
-        kinds = [pa.string(), pa.int32(), pa.string(), pa.string(), pa.string(), pa.int64(), pa.binary()]
-        return pa.RecordBatch.from_arrays([pa.array([row[k] for row in rows], kind) for k, kind in enumerate(kinds)], names=["origin", "number", "kind", "refers_to", "digest", "total", "block"])
+                    yield _batch(rows, _FIELDS | _PARTS)
 
-    records = files.mapInArrow(scan, "origin string, number int, kind string, refers_to string, digest string, total long, block binary")
-    records = cut_lineage(records, "records")
-
-    def single(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            columns = [batch.column(n).to_pylist() for n in ("origin", "kind", "refers_to", "digest", "block")]
-            yield _batch([_whole(*row, None) for row in zip(*columns)])
+    records = cut_lineage(files.mapInArrow(scan, _schema(_FIELDS | _PARTS)), "records")
 
     def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows come by origin and number."""
 
         def finish(rows):
             problem, head = None, rows[0]
-            if [row[1] for row in rows] != list(range(1, len(rows) + 1)) or head[2] == "continuation":
+            if [row["number"] for row in rows] != list(range(1, len(rows) + 1)) or head["kind"] == "continuation":
                 problem = "segments missing"
-            elif rows[-1][5] != sum(len(row[6]) for row in rows):
+            elif rows[-1]["total"] != sum(len(row["payload"]) for row in rows):
                 problem = "total length differs"
-            return _whole(head[0], head[2], head[3], head[4], b"".join(row[6] for row in rows), problem)
+            return _whole(head["name"], head["kind"], head["refers_to"], head["digest"], b"".join(row["payload"] for row in rows), problem, keep_payloads)
 
-        held: list[tuple] = []
+        held: list[dict] = []
         for batch in batches:
             out = []
-            for row in zip(*[batch.column(k).to_pylist() for k in range(7)]):
-                if held and held[0][0] != row[0]:
+            for k in range(batch.num_rows):
+                row = batch.slice(k, 1).to_pylist()[0]
+                if held and held[0]["name"] != row["name"]:
                     out.append(finish(held))
                     held = []
                 held.append(row)
             if out:
-                yield _batch(out)
+                yield _batch(out, _FIELDS)
         if held:
-            yield _batch([finish(held)])
+            yield _batch([finish(held)], _FIELDS)
 
-    whole = records.where("number = 0").mapInArrow(single, _FIELDS)
-    segments = records.where("number > 0").repartition("origin").sortWithinPartitions("origin", "number")
-    return whole.unionAll(segments.mapInArrow(joined, _FIELDS))
+    segments = records.where("number > 0").repartition("name").sortWithinPartitions("name", "number")
+    return records.where("number = 0").select(*_FIELDS).unionAll(segments.mapInArrow(joined, _schema(_FIELDS)))
 
 
 def read_pages(spark: SparkSession, folder: str) -> DataFrame:
@@ -238,7 +239,7 @@ def read_pages(spark: SparkSession, folder: str) -> DataFrame:
 
     What a revisit says of its payload is looked up in the response that it refers to.
     """
-    rows = cut_lineage(read(spark, folder).select("name", "page", "kind", "refers_to", "digest", F.octet_length("payload").cast("long").alias("bytes"), "problem"), "read")
+    rows = cut_lineage(read(spark, folder, keep_payloads=False).drop("payload"), "read")
     own = rows.where("kind <> 'revisit'")
     again = rows.where("kind = 'revisit'").join(own.select(F.col("name").alias("of"), F.col("page").alias("of_page"), F.col("bytes").alias("of_bytes"), F.col("digest").alias("of_digest")), F.col("refers_to") == F.col("of"), "left")
     lost = F.coalesce("problem", F.when(F.col("of").isNull(), "response missing"), F.when(F.col("of_digest") != F.col("digest"), "payload digest differs"))
