@@ -15,6 +15,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from debutline.llm.shared import shards
+
 BUCKETS = 128
 HEADER = 2
 MOST_HEADER = 32
@@ -132,7 +134,11 @@ def with_next(documents: DataFrame, doc_id: str = "doc_id", text: str = "text",
             own["mark"] = marks
             block = np.searchsorted(keys, own, side="right") - 1
             opens = np.flatnonzero(keys[block] == own)
-            yield pa.RecordBatch.from_arrays([pa.array(block, pa.int64()), pa.array(np.zeros(len(ids), bool)), *batch.columns], names=["block", "tail", *batch.schema.names])
+            at = 0
+            for part in shards([batch], "text", _SHARD_CHARS):
+                here = block[at : at + part.num_rows]
+                yield pa.RecordBatch.from_arrays([pa.array(here, pa.int64()), pa.array(np.zeros(len(here), bool)), *part.columns], names=["block", "tail", *batch.schema.names])
+                at += part.num_rows
             if len(opens):
                 part = batch.take(pa.array(opens))
                 before = (block[opens] - 1) % len(keys)
@@ -166,13 +172,13 @@ def with_next(documents: DataFrame, doc_id: str = "doc_id", text: str = "text",
         id_type = None
         for batch in batches:
             id_type = batch.column("id").type
-            columns = [batch.column(n).to_pylist() for n in ("block", "tail", "id", "text")]
-            for row in zip(*columns):
-                held.append(row)
-                size += len(row[3])
-                if size >= _SHARD_CHARS:
-                    yield flush(held)
-                    held, size = [row], 0
+            for part in shards([batch], "text", _SHARD_CHARS):
+                for row in zip(*[part.column(n).to_pylist() for n in ("block", "tail", "id", "text")]):
+                    held.append(row)
+                    size += len(row[3])
+                    if size >= _SHARD_CHARS:
+                        yield flush(held)
+                        held, size = [row], 0
         if len(held) > 1:
             yield flush(held)
 
