@@ -92,6 +92,10 @@ def pieces_of(batch: pa.RecordBatch, text: str, piece: int = PIECE) -> Iterator[
         yield owner[at:end], letters, unit(presence(part, piece_at, end - at))
 
 
+def _unpacked(bits: np.ndarray) -> np.ndarray:
+    return unit(np.unpackbits(bits, axis=1)[:, :WIDTH].astype(np.float32))
+
+
 @dataclass
 class Model:
     languages: list[str]
@@ -139,11 +143,12 @@ def fit(labelled: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: s
     marks = ranked.where(F.col("rank") <= per_language).orderBy("lang", "rank").select("bits").collect()
     if not marks:
         return Model(languages, np.zeros((WIDTH, len(languages)), np.float32), np.zeros(len(languages), np.float32))
-    stones = unit(np.stack([np.unpackbits(np.frombuffer(row[0], np.uint8))[:WIDTH] for row in marks]).astype(np.float32))
-    shared = spark.sparkContext.broadcast(stones.T.copy())
+    packed_marks = np.stack([np.frombuffer(row[0], np.uint8) for row in marks])
+    stones = _unpacked(packed_marks)
+    shared = spark.sparkContext.broadcast(packed_marks)  # `landmarks` rows of bits
 
     def products(batches):
-        stones_t, place = shared.value, {name: i for i, name in enumerate(languages)}
+        stones_t, place = _unpacked(shared.value).T.copy(), {name: i for i, name in enumerate(languages)}
         size = stones_t.shape[1] + 1
         gram, target, seen = np.zeros((size, size)), np.zeros((size, len(languages))), 0
         for batch in batches:

@@ -9,11 +9,18 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from debutline.session import cut_lineage, scratch_path
+from debutline.session import scratch_path
 
 __all__ = ["cut_lineage", "scratch_path", "table", "text_bytes", "shards", "id_text", "in_order", "numbered", "picked"]
 
 
+def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Write `df` once to the shared folder, well packed, and read it back, so that retries start from files."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
