@@ -7,13 +7,12 @@ from collections.abc import Sequence
 
 import numpy as np
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from debutline.schema import DRIFT_THRESHOLD
 
-EXACT_ROWS = 10_000
 SKIP_NOTE = "Skipped due to NaN values"
 
 REPORT_SCHEMA = T.StructType(
@@ -29,9 +28,12 @@ REPORT_SCHEMA = T.StructType(
 )
 
 
-def ks_probability(distance: float, n1: int, n2: int) -> float:
-    """Two-sided p-value: exact up to 10,000 rows a side, else from the limiting distribution."""
-    if max(n1, n2) <= EXACT_ROWS:
+def ks_probability(distance: float, n1: int, n2: int, exact: bool = False) -> float:
+    """Two-sided p-value from the limiting distribution, whatever the sizes.
+
+    With `exact` it is counted on the lattice of both samples, which takes (n1 + n2) * n1 steps on the driver.
+    """
+    if exact:
         return _exact_probability(distance, n1, n2)
     size = round(n1 * n2 / (n1 + n2))
     root = math.sqrt(size)
@@ -70,13 +72,13 @@ def _exact_probability(distance: float, n1: int, n2: int) -> float:
 def ks_statistics(base: DataFrame, current: DataFrame, columns: Sequence[str], slots: int = 128) -> list[dict]:
     """Exact largest gap between the two distribution functions, per column.
 
-    Three passes keep the work small at any size:
+    Few passes keep the work small at any size:
 
     1. row and null counts and approximate quantiles give up to `slots` value ranges per column;
     2. exact counts per range give the gap at every range end, and the most a gap can reach inside;
-    3. only ranges that could beat the best range end are sorted by value, and only their counts move.
+    3. ranges that could beat the best range end are cut at quantiles of their own and counted again, until none is left.
 
-    The driver sees `slots` rows per column, whatever the data size.
+    No range is ever sorted or gathered; the driver sees `slots` rows per open range.
     """
     both = base.select(*columns, F.lit(1).alias("_base")).unionByName(current.select(*columns, F.lit(0).alias("_base")))
     is_base, known = F.col("_base") == 1, {}
@@ -93,11 +95,12 @@ def ks_statistics(base: DataFrame, current: DataFrame, columns: Sequence[str], s
         clean = first[f"nulls_{at}"] == 0 and n_base > 0 and n_current > 0
         out[name] = {"column": name, "n_base": n_base, "n_current": n_current, "statistic": None}
         if clean:
-            known[name] = sorted(edge for edge in set(first[f"edges_{at}"]) if math.isfinite(edge))
+            known[name] = sorted({edge + 0.0 for edge in first[f"edges_{at}"] if math.isfinite(edge)})
     if not known:
         return list(out.values())
 
-    typed = both.select("_base", *[F.col(name).cast("double").alias(f"_v{at}") for at, name in enumerate(known)])
+    # a negative zero equals zero but would be put below it
+    typed = both.select("_base", *[(F.col(name).cast("double") + 0.0).alias(f"_v{at}") for at, name in enumerate(known)])
     slotted = Bucketizer(
         splitsArray=[[-math.inf, *edges, math.inf] for edges in known.values()],
         inputCols=[f"_v{at}" for at in range(len(known))],
@@ -117,43 +120,67 @@ def ks_statistics(base: DataFrame, current: DataFrame, columns: Sequence[str], s
     for row in long.groupBy("column", "slot").agg(*counts).collect():
         per_slot[row["column"]].append((row["slot"], row["c1"], row["c2"]))
 
-    best, open_slots = {}, []
+    best, open_ranges = dict.fromkeys(known, 0.0), []
     for name, rows in per_slot.items():
-        seen1 = seen2 = 0
-        top, starts = 0.0, []
-        for slot, c1, c2 in sorted(rows):
-            starts.append((slot, seen1, seen2, c1, c2))
-            seen1, seen2 = seen1 + c1, seen2 + c2
-            top = max(top, abs(seen1 / n_base - seen2 / n_current))
-        best[name] = top
-        for slot, before1, before2, c1, c2 in starts:
-            high = (before1 + c1) / n_base - before2 / n_current
-            low = before1 / n_base - (before2 + c2) / n_current
-            if max(high, -low) > top:
-                open_slots.append((name, slot, before1, before2))
-    if open_slots:
-        schema = "column string, slot int, before1 bigint, before2 bigint"
-        todo = F.broadcast(base.sparkSession.createDataFrame(open_slots, schema))  # at most `slots` rows per column
-        running = Window.partitionBy("column", "slot").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-        inside = (
-            long.join(todo, ["column", "slot"])
-            .groupBy("column", "slot", "value", "before1", "before2")
-            .agg(*counts)
-            .withColumn(
-                "gap",
-                F.abs(
-                    (F.col("before1") + F.sum("c1").over(running)) / n_base
-                    - (F.col("before2") + F.sum("c2").over(running)) / n_current
-                ),
-            )
-        )
-        for row in inside.groupBy("column").agg(F.max("gap").alias("gap")).collect():
-            best[row["column"]] = max(best[row["column"]], row["gap"])
+        ends = [None, *known[name], None]
+        ranges = [(ends[int(slot)], ends[int(slot) + 1], c1, c2, True) for slot, c1, c2 in sorted(rows)]
+        open_ranges += _could_beat(name, ranges, 0, 0, n_base, n_current, best)
+    while open_ranges := [held for held in open_ranges if held[-1] > best[held[0]]]:
+        found = _cut_again(long, open_ranges, steps, 20 * slots)
+        open_ranges = []
+        for (name, before1, before2), ranges in found.items():
+            open_ranges += _could_beat(name, ranges, before1, before2, n_base, n_current, best)
     for name in known:
         out[name]["statistic"] = best[name]
     return list(out.values())
 
 
+def _could_beat(name: str, ranges: list[tuple], before1: int, before2: int, n_base: int, n_current: int, best: dict) -> list[tuple]:
+    """Raise `best` by the gaps at the range ends; return the ranges of several values inside which a gap could be larger.
+
+    `ranges` are (low, high, rows of either side, several values) in ascending order, after `before1` and `before2` rows.
+    """
+    seen, out = [], []
+    for low, high, c1, c2, several in ranges:
+        seen.append((low, high, before1, before2, c1, c2, several))
+        before1, before2 = before1 + c1, before2 + c2
+        best[name] = max(best[name], abs(before1 / n_base - before2 / n_current))
+    for low, high, at1, at2, c1, c2, several in seen:
+        most = max((at1 + c1) / n_base - at2 / n_current, (at2 + c2) / n_current - at1 / n_base)
+        if several and most > best[name]:
+            out.append((name, low, high, at1, at2, most))
+    return out
+
+
+def _cut_again(long: DataFrame, open_ranges: list[tuple], steps: Column, accuracy: int) -> dict[tuple, list[tuple]]:
+    """Each open range cut at its own quantiles: (column, rows before) to ranges as `_could_beat` takes them.
+
+    A range shrinks by the number of steps each time, however its values lie, and ends as a single value at the latest.
+    """
+    spark = long.sparkSession
+    schema = "at int, name string, low double, high double"
+    rows = [(at, name, low, high) for at, (name, low, high, *_) in enumerate(open_ranges)]
+    todo = F.broadcast(spark.createDataFrame(rows, schema))  # at most as many as there are steps, per column
+    value = F.col("value")
+    inside = long.join(
+        todo, (F.col("column") == F.col("name")) & (F.col("low").isNull() | (value >= F.col("low"))) & (F.col("high").isNull() | (value < F.col("high")))
+    )
+    spread = inside.groupBy("at").agg(F.percentile_approx(value, steps, accuracy).alias("edges"), F.min(value).alias("least"), F.max(value).alias("most"))
+    # the middle and the greatest value part every range that holds two values, however many rows one of them has
+    edges = {row["at"]: sorted({*row["edges"], row["least"] / 2 + row["most"] / 2, row["most"]}) for row in spread.collect()}
+    cut = F.broadcast(spark.createDataFrame(list(edges.items()), "cut int, edges array<double>"))
+    placed = inside.join(cut, F.col("at") == F.col("cut")).withColumn("slot", F.size(F.filter("edges", lambda edge: edge <= value)))
+    is_base = F.col("_base") == 1
+    counts = placed.groupBy("at", "slot").agg(F.count_if(is_base).alias("c1"), F.count_if(~is_base).alias("c2"), (F.min(value) < F.max(value)).alias("several")).collect()
+    out: dict[tuple, list[tuple]] = {}
+    for row in sorted(counts, key=lambda r: (r["at"], r["slot"])):
+        name, low, high, before1, before2, _ = open_ranges[row["at"]]
+        ends = [low, *edges[row["at"]], high]
+        part = (ends[row["slot"]], ends[row["slot"] + 1], row["c1"], row["c2"], row["several"])
+        out.setdefault((name, before1, before2), []).append(part)
+    return out
+
+
 def edges_below(edges: Sequence[float], value: Column) -> Column:
     """Number of sorted edges smaller than the value, by halving steps."""
     steps = [1 << bit for bit in range(len(edges).bit_length() - 1, -1, -1)]
@@ -171,14 +198,18 @@ def drift_report(
     current: DataFrame,
     columns: Sequence[str],
     threshold: float = DRIFT_THRESHOLD,
+    exact: bool = False,
 ) -> DataFrame:
-    """One row per column: sizes, statistic, p-value, verdict. Columns with a null on a side are skipped."""
+    """One row per column: sizes, statistic, p-value, verdict. Columns with a null on a side are skipped.
+
+    `exact` chooses the method of `ks_probability`; it never depends on the sizes.
+    """
     rows = []
     for found in ks_statistics(base, current, columns):
         if found["statistic"] is None:
             rows.append((found["column"], found["n_base"], found["n_current"], None, None, None, SKIP_NOTE))
             continue
-        p_value = ks_probability(found["statistic"], found["n_base"], found["n_current"])
+        p_value = ks_probability(found["statistic"], found["n_base"], found["n_current"], exact)
         rows.append(
             (found["column"], found["n_base"], found["n_current"], found["statistic"], p_value, p_value < threshold, None)
         )

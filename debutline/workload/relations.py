@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from debutline.functions.dates import date_text
 from debutline.operators import match, merge, quality
-from debutline.operators.drift import ks_statistics
+from debutline.operators.drift import drift_free, drift_report, ks_statistics
 from debutline.operators.scores import macro_scores
 from debutline.operators.split import class_counts, split_rows
 from debutline.workload.tables import events, lineitem, orders, table
@@ -258,6 +258,45 @@ FROM (
 KS_SQL = "UNION ALL".join(KS_PART.format(c=name) for name in DRIFT_COLUMNS)
 
 
+def drift_table(spark: SparkSession, folder: str) -> DataFrame:
+    """The drift report of finished and open line items: like columns, one that moved, one that was cut, one with unknown values."""
+    moved = lineitem(spark, folder).withColumns(
+        {
+            "moved": F.col("l_extendedprice") + F.when(F.col("l_linestatus") == "F", 0.0).otherwise(F.col("l_quantity") * 5),
+            "cut": F.when((F.col("l_linestatus") == "F") | (F.col("l_tax") < 0.07), F.col("l_tax")).otherwise(0.0),
+            "gap": F.when(F.col("l_quantity") > 1, F.col("l_quantity")),
+        }
+    )
+    report = drift_report(moved.filter("l_linestatus = 'F'"), moved.filter("l_linestatus <> 'F'"), [*DRIFT_COLUMNS, *MOVED_COLUMNS])
+    rounded = report.withColumns({"statistic": F.round("statistic", 9), "p_value": F.round("p_value", 6)})
+    return rounded.withColumn("all_clear", F.lit(drift_free(report)))
+
+
+MOVED_COLUMNS = ["moved", "cut", "gap"]
+REPORT_PART = """
+SELECT '{c}' AS "column", any_value(n1) AS n_base, any_value(n2) AS n_current,
+  CASE WHEN any_value(nulls) = 0 THEN max(abs(s1 / n1 - s2 / n2)) END AS d
+FROM (
+  SELECT v, sum(CAST(c1 AS DOUBLE)) OVER w AS s1, sum(CAST(c2 AS DOUBLE)) OVER w AS s2, sum(CASE WHEN v IS NULL THEN c1 + c2 ELSE 0 END) OVER () AS nulls,
+         CAST(sum(c1) OVER () AS BIGINT) AS n1, CAST(sum(c2) OVER () AS BIGINT) AS n2
+  FROM (SELECT {c} AS v, count(*) FILTER (WHERE l_linestatus = 'F') AS c1, count(*) FILTER (WHERE l_linestatus <> 'F') AS c2
+        FROM m GROUP BY 1)
+  WINDOW w AS (ORDER BY v))
+"""
+REPORT_SQL = f"""
+WITH m AS (SELECT *, l_extendedprice + CASE WHEN l_linestatus = 'F' THEN 0.0 ELSE l_quantity * 5 END AS moved,
+  CASE WHEN l_linestatus = 'F' OR l_tax < 0.07 THEN l_tax ELSE 0.0 END AS cut, CASE WHEN l_quantity > 1 THEN l_quantity END AS gap FROM lineitem),
+k AS ({"UNION ALL".join(REPORT_PART.format(c=name) for name in [*DRIFT_COLUMNS, *MOVED_COLUMNS])}),
+s AS (SELECT *, round(CAST(n_base AS DOUBLE) * n_current / (n_base + n_current)) AS size FROM k),
+z AS (SELECT *, d * sqrt(size) + 1 / (6 * sqrt(size)) + (d * sqrt(size) - 1) / (4 * size) AS z FROM s),
+p AS (SELECT *, CASE WHEN d IS NULL THEN NULL WHEN z < 0.2 THEN 1.0 ELSE greatest(0.0, least(1.0,
+  list_sum(list_transform(range(1, 101), lambda i: 2 * pow(-1, i - 1) * exp(-2 * pow(i * z, 2)))))) END AS p FROM z)
+SELECT "column", n_base, n_current, round(d, 9) AS statistic, round(p, 6) AS p_value, p < 0.05 AS drift_status,
+  CASE WHEN d IS NULL THEN 'Skipped due to NaN values' END AS note, (SELECT count(*) = 0 FROM p WHERE p < 0.05) AS all_clear
+FROM p
+"""
+
+
 def split_counts(spark: SparkSession, folder: str) -> DataFrame:
     """Sizes of the exact split of all orders: training rows per class, the other parts as a whole."""
     rows = split_rows(orders(spark, folder), ["o_orderkey"], "o_orderpriority")
@@ -324,6 +363,7 @@ CASES = {
     "null_counts": (null_counts, NULL_COUNTS_SQL),
     "schema_check": (schema_check, SCHEMA_SQL),
     "ks_drift": (ks_drift, KS_SQL),
+    "drift_table": (drift_table, REPORT_SQL),
     "split_counts": (split_counts, SPLIT_SQL),
     "class_distribution": (class_distribution, CLASS_SQL),
     "macro_scores": (macro, MACRO_SQL),
