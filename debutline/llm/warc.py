@@ -141,7 +141,8 @@ def write(pages: DataFrame, folder: str, page_id: str = "page_id", url: str = "u
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["value"])
 
-    records = held.join(again, "row", "left").select("row", "id", "url", "html", "of").mapInArrow(scan, "value binary")
+    # revisits may be any share of the pages, so they are never sent everywhere: the same join at every size
+    records = held.join(again.hint("merge"), "row", "left").select("row", "id", "url", "html", "of").mapInArrow(scan, "value binary")
     # the writer takes bytes as they are; a task's own records go to files of `records_per_file`
     records.select(F.col("value").cast("string")).write.option("lineSep", _END).option("maxRecordsPerFile", records_per_file).option("compression", "gzip").text(folder)
 
