@@ -11,10 +11,12 @@ Texts are tokenised where they are read; what is shuffled, once and by ranges of
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -43,45 +45,70 @@ def _tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
+# the byte-level alphabet: bytes that print stand for themselves, the others for the letters from 256 on
+_PRINTED = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_LETTER_OF = {byte: chr(byte) for byte in _PRINTED} | {byte: chr(256 + k) for k, byte in enumerate(sorted(set(range(256)) - set(_PRINTED)))}
+_BYTE_LETTERS = [_LETTER_OF[byte] for byte in range(256)]
+# words that normalising and splitting leave as they are: the model alone is several times as fast on them
+_PLAIN = re.compile("[a-zß-öø-ÿ]+")
+
+
+@lru_cache(maxsize=2)
+def _model(path: str):
+    return _tokenizer(path).model
+
+
 class WordIds:
     """Ids of texts. The vocabulary drops white space, so words between ASCII white space are encoded once and remembered.
 
     As it also lower-cases, and never joins a sign to letters, a word's ids are those of its lower-case form, and a sign after an
-    ASCII letter has ids of its own; far fewer forms than words reach the tokenizer. Words that may hold a special token are left alone.
+    ASCII letter has ids of its own; far fewer forms than words are encoded, and plain ones by the model directly. All other words
+    reach the tokenizer as they are.
     """
 
     def __init__(self, path: str, most_words: int = CACHED_WORDS):
         self.path, self.most, self.known = path, most_words, {}
 
     def _learn(self, words: set[bytes]) -> None:
-        known, forms = self.known, {}
+        known, tokenize, other = self.known, _model(self.path).tokenize, []
         for word in words:
-            if b"<|" in word:
-                forms[word] = (word, b"")
-                continue
             low = word.lower()
-            if len(low) > 1 and low[-1] in b".,;:!?" and 97 <= low[-2] <= 122:
-                forms[word] = (low[:-1], low[-1:])
-            else:
-                forms[word] = (low, b"")
-        new = list({part for pair in forms.values() for part in pair if part and part not in known})
-        for at in range(0, len(new), 1 << 14):
-            part = new[at : at + (1 << 14)]
+            sign = b""
+            if low[-1] in b".,;:!?" and len(low) > 1 and 97 <= low[-2] <= 122:
+                low, sign = low[:-1], low[-1:]
+            ids = known.get(low)
+            if ids is None:
+                if low.isalpha():  # ASCII letters, as bytes go
+                    text = low.decode()
+                else:
+                    text = low.decode("utf-8", "replace")
+                    if not _PLAIN.fullmatch(text):
+                        other.append(word)
+                        continue
+                    text = "".join([_BYTE_LETTERS[byte] for byte in low])
+                ids = known[low] = array("I", [token.id for token in tokenize(text)]).tobytes()
+            if sign:
+                if sign not in known:
+                    known[sign] = array("I", _tokenizer(self.path).encode(sign.decode(), add_special_tokens=False).ids).tobytes()
+                known[word] = ids + known[sign]
+            elif word != low:
+                known[word] = ids
+        for at in range(0, len(other), 1 << 14):
+            part = other[at : at + (1 << 14)]
             found = _tokenizer(self.path).encode_batch_fast([word.decode("utf-8", "replace") for word in part], add_special_tokens=False)
             known.update((word, array("I", code.ids).tobytes()) for word, code in zip(part, found))
-        known[b""] = b""
-        known.update((word, known[stem] + known[sign]) for word, (stem, sign) in forms.items() if word != stem)
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         split = [text.encode("utf-8", "surrogatepass").split() if text else [] for text in texts]
         known = self.known
-        new = {word for words in split for word in words if word not in known}
+        seen = set(chain.from_iterable(split))
+        new = seen.difference(known)
         if len(known) + len(new) > self.most:
             self.known = known = {}
-            new = {word for words in split for word in words}
+            new = seen
         if new:
             self._learn(new)
-        return [np.frombuffer(b"".join([known[word] for word in words]), np.uint32) for words in split]
+        return [np.frombuffer(b"".join(map(known.__getitem__, words)), np.uint32) for words in split]
 
 
 @lru_cache(maxsize=1)
@@ -125,13 +152,23 @@ def id_counts(tokens: DataFrame) -> dict[int, int]:
     """How often each id occurs; the vocabulary bounds the result."""
 
     def scan(batches):
-        totals = np.zeros(0, np.int64)
+        totals, held, size = np.zeros(0, np.int64), [], 0
+
+        def counted(totals, held):
+            more = np.bincount(np.concatenate(held))
+            if len(more) > len(totals):
+                totals = np.concatenate([totals, np.zeros(len(more) - len(totals), np.int64)])
+            totals[: len(more)] += more
+            return totals
+
         for batch in batches:
             for ids in batch.column(0):
-                more = np.bincount(unpacked(ids.as_py()))
-                if len(more) > len(totals):
-                    totals = np.concatenate([totals, np.zeros(len(more) - len(totals), np.int64)])
-                totals[: len(more)] += more
+                held.append(unpacked(ids.as_py()))
+                size += len(held[-1])
+                if size >= _TOGETHER:
+                    totals, held, size = counted(totals, held), [], 0
+        if held:
+            totals = counted(totals, held)
         used = np.flatnonzero(totals)
         yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array(totals[used], pa.int64())], names=["token", "n"])
 

@@ -7,6 +7,7 @@ import random
 import re
 import zlib
 
+import duckdb
 import numpy as np
 import pytest
 import xxhash
@@ -216,6 +217,7 @@ def test_words_are_encoded_as_whole_texts(texts):
     path = tokenizer_path("word_bpe_49k.json")
     rng, letters = random.Random(1), "abÉé \t\n\x0b\x1c\x85\xa0 İßΣσς'sIt's 12½, Ώé <|endoftext|> 中文😀‍!?.X<|ENDoftext|>"
     made = ["".join(rng.choice(letters) for _ in range(rng.randint(0, 60))) for _ in range(800)] + [t or "" for _, t in texts]
+    made += [row[0] for row in duckdb.sql("SELECT text FROM '/root/testdata/sf0.001/documents.parquet'").fetchall()]
     want = Tokenizer.from_file(path).encode_batch(made, add_special_tokens=False)
     assert [ids.tolist() for ids in token_file.WordIds(path, 50).encode(made)] == [code.ids for code in want]
 
