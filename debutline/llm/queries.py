@@ -102,4 +102,21 @@ SELECT page_id, n AS payload_bytes,
 FROM payloads JOIN firsts USING (hex)
 """
 
-SQL: dict[str, str] = {"op9_warc": WARC_SQL}
+_WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
+WINDOW_SQL = f"""
+WITH d AS (SELECT doc_id, {_WORDS} AS ws FROM documents),
+i AS (SELECT item_id, {_WORDS} AS ws FROM benchmark),
+w AS (SELECT DISTINCT item_id, k, list_slice(ws, p, p + k - 1) AS win
+      FROM (SELECT item_id, ws, least(13, len(ws)) AS k, unnest(range(1, len(ws) - least(13, len(ws)) + 2)) AS p FROM i WHERE len(ws) > 0)),
+g AS (SELECT doc_id, p, k, list_slice(ws, p, p + k - 1) AS win
+      FROM (SELECT doc_id, ws, k, unnest(range(1, len(ws) - k + 2)) AS p FROM d CROSS JOIN (SELECT DISTINCT k FROM w) WHERE len(ws) >= k)),
+h AS (SELECT DISTINCT doc_id, item_id, p, g.k FROM g JOIN w ON g.win = w.win),
+c AS (SELECT doc_id, count(DISTINCT q) AS n_hit FROM (SELECT doc_id, unnest(range(p, p + k)) AS q FROM h) GROUP BY 1),
+n AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+      FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM h) GROUP BY 1)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit > 0 AND 20 * n_hit >= len(ws), false) AS contaminated
+FROM d LEFT JOIN c USING (doc_id) LEFT JOIN n USING (doc_id)
+"""
+
+SQL: dict[str, str] = {"op5_decontaminate": WINDOW_SQL, "op9_warc": WARC_SQL}

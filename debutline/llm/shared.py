@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from debutline.session import scratch_path
 
-__all__ = ["cut_lineage", "scratch_path", "table", "text_bytes", "shards", "id_text", "in_order", "numbered", "picked"]
+__all__ = ["cut_lineage", "scratch_path", "table", "text_bytes", "shards", "numbered", "picked"]
 
 
 def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
@@ -25,10 +25,6 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def id_text(column: str) -> Column:
-    return F.col(column).cast("string")
-
-
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The UTF-8 bytes of all rows of a string or binary column and the offsets between rows; null is empty."""
     if isinstance(column, pa.ChunkedArray):
@@ -97,7 +93,3 @@ def picked(documents: DataFrame, chosen: DataFrame, text: str, keys: list[str])
         again = held.where("_rows > 1").dropDuplicates([*(f"_key_{at}" for at in range(len(keys))), "_of"])
         out = out.unionAll(again.select(*names, "_times"))
     return out.select(*names, F.explode(F.sequence(F.lit(1), F.col("_times").cast("int"))).alias("_copy")).drop("_copy")
-
-
-def in_order(*columns: str) -> list[Column]:
-    return [F.col(name).asc_nulls_last() for name in columns]
