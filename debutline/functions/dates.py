@@ -14,7 +14,6 @@ from debutline.functions.common import ColumnLike, col, let
 TIMELINE_FORMAT = "MMM d, yyyy"
 CELL_FORMAT = "MMM d yyyy"
 RANGE_FORMAT = "d MMM yyyy"
-SUBSCRIPTION_FORMAT = "MMM d yyyy"
 PRICE_DAY_FORMAT = "d-M-yyyy"
 STORED_FORMAT = "yyyy-MM-dd"
 PAGE_FORMATS = [TIMELINE_FORMAT, CELL_FORMAT, RANGE_FORMAT, PRICE_DAY_FORMAT]

@@ -19,10 +19,7 @@ IMPUTE_NEIGHBOURS = 5
 RETRY_LIMIT = 10
 PAGE_ROWS = 20
 ARCHIVE_START = "2025-09-01"
-FIRST_LIST_YEAR = 2012
-LIST_CATEGORIES = ["mainboard", "sme"]
 SENTINELS = ["na", "nan", "null", "None", "", "error", "[.]"]
-COLLECTIONS = ["IPOPredMain", "IPOPredOrig", "IPOPredTest", "IPOPredArcv"]
 
 GAIN_BANDS = [
     ("Cat_1", -100, -20),
@@ -159,17 +156,9 @@ def _column_types() -> dict[str, T.DataType]:
 OFFERING_TYPES = _column_types()
 OFFERING_COLUMNS = list(OFFERING_TYPES)
 OFFERING_SCHEMA = T.StructType([T.StructField(name, kind) for name, kind in OFFERING_TYPES.items()])
-RAW_SCHEMA = T.StructType([T.StructField(name, T.StringType()) for name in OFFERING_TYPES])
 ARCHIVE_SCHEMA = T.StructType(OFFERING_SCHEMA.fields + [T.StructField(PREDICTION_COLUMN, T.StringType())])
 PAIR_TYPE = T.StructType([T.StructField("date", T.DateType()), T.StructField("price", T.DoubleType())])
 
-PAGES_SCHEMA = T.StructType(
-    [
-        T.StructField("page_id", T.LongType()),
-        T.StructField("url", T.StringType()),
-        T.StructField("html", T.StringType()),
-    ]
-)
 INSTRUMENT_SCHEMA = T.StructType(
     [T.StructField(name, T.StringType()) for name in ("symbol", "token", "exch_seg")]
 )

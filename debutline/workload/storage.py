@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from debutline.operators.merge import distinct_rows
-from debutline.operators.project import clean_stored
+from debutline.operators.project import clean_stored, stored_text
 from debutline.session import scratch_path
-from debutline.sources.files import read_csv_text, write_csv
+from debutline.sources.files import read_csv_text, read_features, write_csv, write_features, write_json
 from debutline.sources.store import Store
 from debutline.streaming.refresh import refresh_stream
 from debutline.workload.tables import events, table
@@ -69,6 +70,42 @@ SELECT doc_id, '"' || lang || '", ' || source AS tag, CASE WHEN n_chars > 500 TH
 """
 
 
+def stored_form(spark: SparkSession, folder: str) -> DataFrame:
+    """All events in the form a stored table keeps, written as JSON, read as text and typed again."""
+    path = scratch_path(spark, "stored")
+    rows = events(spark, folder).select("event_id", "event_type", "value", "day")
+    kept = stored_text(rows)
+    write_json(kept, path)
+    types = {"event_id": T.LongType(), "event_type": T.StringType(), "value": T.DoubleType(), "day": T.DateType()}
+    text = T.StructType([T.StructField(name, T.StringType()) for name in types])
+    typed = clean_stored(spark.read.schema(text).json(path), types)
+    return typed.select("event_id", "value", F.date_format("day", "yyyy-MM-dd").alias("day"), "event_type")
+
+
+STORED_FORM_SQL = """
+SELECT event_id, value, strftime(ts, '%Y-%m-%d') AS day, CASE WHEN event_type <> 'error' THEN event_type END AS event_type FROM events
+"""
+
+
+def feature_matrix(spark: SparkSession, folder: str) -> DataFrame:
+    """All embeddings as a feature matrix, written and read back: its label, size and both ends."""
+    path = scratch_path(spark, "matrix")
+    rows = table(spark, folder, "embeddings").select(
+        array_to_vector(F.col("embedding").cast("array<double>")).alias("features"), F.col("label").cast("double").alias("label"), F.col("vec_id").cast("string").alias("split")
+    )
+    write_features(rows, path)
+    values = vector_to_array("features")
+    return read_features(spark, path).select(
+        F.col("split").cast("long").alias("vec_id"), "label", F.size(values).alias("width"), values[0].alias("first"), F.element_at(values, -1).alias("last")
+    )
+
+
+MATRIX_SQL = """
+SELECT vec_id, CAST(label AS DOUBLE) AS label, CAST(len(embedding) AS INTEGER) AS width, CAST(embedding[1] AS DOUBLE) AS first, CAST(embedding[-1] AS DOUBLE) AS last
+FROM embeddings
+"""
+
+
 def store_cycle(spark: SparkSession, folder: str) -> DataFrame:
     """Three versions: users from customers, merged with all events, then purchasers deleted."""
     store = Store(spark, scratch_path(spark, "store"), ["user_id"], USER_TYPES)
@@ -112,6 +149,8 @@ def stream_refresh(spark: SparkSession, folder: str) -> DataFrame:
 CASES = {
     "collection_scan": (collection_scan, SCAN_SQL),
     "csv_round": (csv_round, CSV_SQL),
+    "stored_form": (stored_form, STORED_FORM_SQL),
+    "feature_matrix": (feature_matrix, MATRIX_SQL),
     "store_cycle": (store_cycle, STORE_SQL),
     "stream_refresh": (stream_refresh, LAST),
 }
