@@ -87,7 +87,8 @@ def picked(documents: DataFrame, chosen: DataFrame, text: str, keys: list[str])
     on = F.col("_hash") == F.col("_of")
     for at, key in enumerate(keys):
         on = on & F.col(f"`{key}`").eqNullSafe(F.col(f"_key_{at}"))
-    held = hashed.join(chosen, on)
+    # the choice grows with the documents, so the plan is the same at every size: both sides dealt by their keys
+    held = hashed.join(chosen.hint("merge"), on)
     out = held.where("_rows = 1").select(*names, "_times")
     if not chosen.where("_rows > 1").isEmpty():
         again = held.where("_rows > 1").dropDuplicates([*(f"_key_{at}" for at in range(len(keys))), "_of"])
