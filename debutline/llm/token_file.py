@@ -30,7 +30,7 @@ END_ID = 1
 MOST_BITS = 16
 BLOCK_IDS = 1 << 16
 STRIDE = 256
-CACHED_WORDS = 700_000
+CACHED_WORDS = 1_200_000
 _TOGETHER = 1 << 20
 
 
