@@ -17,7 +17,7 @@ import random
 import re
 import zlib
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +31,7 @@ DEPTH = 4
 RATE = 0.3
 BINS = 24
 HASHED = 96
+DOUBT = 1.0  # log-odds for keeping what only variants taught
 
 # --- fixed values of HTML
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -294,7 +295,7 @@ def boost(rows: np.ndarray, labels: np.ndarray, trees: int = TREES, depth: int =
     """Newton boosting with histograms; the hashed tokens, being 0 or 1, are summed by a matrix product."""
     cuts = np.stack([np.resize(np.unique(np.quantile(rows[:, k], np.linspace(0, 1, BINS + 1)[1:-1], method="lower")), BINS) if len(rows) else np.zeros(BINS) for k in range(_NUMERIC)])
     cuts.sort(axis=1)
-    share = float(np.clip(labels.mean() if len(labels) else 0.5, 0.01, 0.99))
+    share = float(np.clip(labels.mean() if len(labels) else 1, 0.01, 0.99))  # without rows everything is kept
     nodes = 2**depth - 1
     out = Forest(cuts, np.zeros((trees, nodes), np.int64), np.full((trees, nodes), 255, np.uint8), np.zeros((trees, nodes + 1)), float(np.log(share / (1 - share))))
     seen = out.binned(rows)
@@ -451,6 +452,18 @@ def variant(source: str, rng: random.Random) -> str:
     return f"<html><head><title>{some(2, 6)}</title></head><body>{before}{body}{after}</body></html>"
 
 
+def as_article(source: str, rng: random.Random) -> str:
+    """The words of a page that names no article as an article of paragraphs, in page order; empty if it has none."""
+    page = parse(source)
+    words = entities.escape(text_of(page, [not gone for gone in hidden(page)]), quote=False).split()
+    parts, at = [f"<h1>{' '.join(words[:6])}</h1>"] if words and rng.random() < 0.7 else [], 0
+    while at < len(words):
+        size = rng.randint(3, 90)
+        parts.append(f"<p>{' '.join(words[at : at + size])}</p>")
+        at += size
+    return f"<article>{''.join(parts)}</article>" if parts else ""
+
+
 def labels(page: Page, rows: list[int]) -> np.ndarray | None:
     """1 for the article, what is in it and what holds it; None if the page does not name one."""
     inside = [False] * len(page.tag)
@@ -469,25 +482,38 @@ def labels(page: Page, rows: list[int]) -> np.ndarray | None:
 def fit(pages: DataFrame, page_id: str = "page_id", html: str = "html", train_pages: int = TRAIN_PAGES, variants: int = VARIANTS, trees: int = TREES) -> Forest:
     """Trees fitted on about `train_pages` pages at most, chosen by a hash of their ids, and `variants` variants of each.
 
-    Pages without a named article teach nothing; without any other page everything that shows as text is kept.
+    Pages without a named article teach nothing while others name theirs. If none does, the trees learn from variants alone, whose
+    articles are the words of the pages in paragraphs; if no page has words either, everything that shows as text is kept.
     """
     held = pages.where(F.col(html).isNotNull())
     every = max(1, -(-held.count() // train_pages))
     chosen = held.where(F.pmod(F.xxhash64(page_id), F.lit(every)) == 0).select(F.xxhash64(page_id), html).collect()
     found, marks = [], []
-    for number, source in sorted((row[0], row[1]) for row in chosen):
-        rng = random.Random(number)
-        named = re.search(r"<article\b", source, re.I)
-        for text in [source, *(variant(source, rng) for _ in range(variants if named else 0))]:
+
+    def learn(texts: list[str]) -> None:
+        for text in texts:
             page = parse(text)
             rows, values = features(page)
             label = labels(page, rows)
             if label is not None and len(rows):
                 found.append(values)
                 marks.append(label)
+
+    sources = sorted((row[0], row[1]) for row in chosen)
+    for number, source in sources:
+        rng = random.Random(number)
+        named = re.search(r"<article\b", source, re.I)
+        learn([source, *(variant(source, rng) for _ in range(variants if named else 0))])
+    known = bool(found)
+    if not known:
+        more = variants * max(1, train_pages // max(1, len(sources)))  # few pages make as many variants as many do
+        for number, source in sources:
+            rng = random.Random(number)
+            learn([variant(made, rng) for made in [as_article(source, rng)] if made for _ in range(more)])
     if not found:
         return boost(np.zeros((0, WIDTH), np.float32), np.ones(0), 0)
-    return boost(np.concatenate(found), np.concatenate(marks), trees)
+    forest = boost(np.concatenate(found), np.concatenate(marks), trees)
+    return forest if known else replace(forest, base=forest.base + DOUBT)
 
 
 def main_texts(sources: list[str | None], forest: Forest) -> list[str]:

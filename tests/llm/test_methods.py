@@ -374,6 +374,18 @@ def test_main_text(spark):
     assert odd == {1, 2, 3, 4, 5, 6, 7}
 
 
+def test_main_text_without_named_articles(spark):
+    rows = spark.read.parquet("/root/testdata/sf0.001/pages.parquet").select("page_id", "html").collect()
+    plain_pages = [(r["page_id"], r["html"].replace("<article>", "<div>").replace("</article>", "</div>")) for r in rows]
+    given = spark.createDataFrame(plain_pages, "page_id long, html string")
+    named = html_extract.main_texts([r["html"] for r in rows], html_extract.fit(spark.createDataFrame(rows), trees=20))
+    got = html_extract.main_texts([source for _, source in plain_pages], html_extract.fit(given))
+    kept = [set(a.split()) & set(b.split()) for a, b in zip(got, named)]
+    assert all(named) and all(kept) and sum(a == b for a, b in zip(got, named)) >= 0.9 * len(rows)
+    nothing = html_extract.fit(given.limit(0))
+    assert html_extract.main_texts(["<div>a<p>b</p></div><script>c</script>"], nothing) == ["a\n\nb"]
+
+
 def test_markup_is_read():
     def text(source):
         page = html_extract.parse(source)
