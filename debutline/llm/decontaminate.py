@@ -157,12 +157,12 @@ class Block:
     codes: np.ndarray
     starts: np.ndarray  # a place for each distinct window
     lengths: np.ndarray
-    holders: list[list[str]]  # item ids of each distinct window
+    holders: list[list[str | None]]  # item ids of each distinct window
     suffixes: np.ndarray
     remaining: np.ndarray
     suffix_item: np.ndarray
     suffix_word: np.ndarray
-    items: list[str]
+    items: list[str | None]
 
     def code(self, hashes: np.ndarray) -> np.ndarray:
         if not len(self.vocabulary):
@@ -171,7 +171,7 @@ class Block:
         return np.where(self.vocabulary[place] == hashes, place + 1, 0).astype(np.uint16)
 
 
-def make_block(items: list[tuple[str, np.ndarray]], window: int) -> Block:
+def make_block(items: list[tuple[str | None, np.ndarray]], window: int) -> Block:
     items = [(name, words) for name, words in items if len(words)]
     vocabulary = np.unique(np.concatenate([w for _, w in items])) if items else np.zeros(0, np.uint64)
     parts, windows, at = [], {}, 0
@@ -205,12 +205,12 @@ def make_block(items: list[tuple[str, np.ndarray]], window: int) -> Block:
 
 def item_blocks(benchmark: DataFrame, item_id: str, text: str, window: int, block_words: int) -> Iterator[Block]:
     """The benchmark in blocks, streamed; items without words have no window."""
-    held: list[tuple[str, np.ndarray]] = []
+    held: list[tuple[str | None, np.ndarray]] = []
     words, seen = 0, set()
     for row in benchmark.select(F.col(item_id).cast("string"), F.col(text)).toLocalIterator():
         data = np.frombuffer((row[1] or "").encode("utf-8", "surrogatepass"), np.uint8)
         hashes, _ = word_hashes(data, np.array([0, len(data)]))
-        if not len(hashes) or row[0] is None:
+        if not len(hashes):
             continue
         more = set(hashes.tolist())
         if held and (words + len(hashes) > block_words or len(seen | more) > BLOCK_VOCABULARY):
@@ -290,7 +290,7 @@ def _scan(block_of, text: str, shard_bytes: int, names: list[str]):
                         doc = int(text_of[start])
                         spans[doc].append({"start": start - int(first[doc]), "stop": stop - int(first[doc])})
             columns = [shard.column(name) for name in names]
-            columns += [pa.array(n_words, pa.int64()), pa.array(spans, spans_type), pa.array([sorted(s) for s in items], pa.list_(pa.string()))]
+            columns += [pa.array(n_words, pa.int64()), pa.array(spans, spans_type), pa.array([sorted(s, key=lambda name: (name is None, name)) for s in items], pa.list_(pa.string()))]
             yield pa.RecordBatch.from_arrays(columns, names=[*names, "_n_words", "_spans", "_items"])
 
     return scan
@@ -316,8 +316,8 @@ def find_windows(
     """Every row of `documents` with `_n_words`, `_spans` (hit words, as disjoint ascending ranges) and `_items`.
 
     Words are `[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+` after lower-casing A-Z. A window is `window` consecutive words of an item, or all
-    words of a shorter one. Null and wordless texts have 0 words, no spans and no items; an item that is null, wordless or without an
-    id is never found; an id on several rows counts once. Other columns are carried along; only the names `_row`, `_n_words`, `_spans` and
+    words of a shorter one. Null and wordless texts have 0 words, no spans and no items; an item that is null or wordless is never
+    found; an id on several rows counts once, and so do all items without an id, which stand last as null. Other columns are carried along; only the names `_row`, `_n_words`, `_spans` and
     `_items` may not be in use.
     """
     taken = {"_row", "_n_words", "_spans", "_items"} & set(documents.columns)
@@ -370,7 +370,10 @@ def _merged_spans(spans):
 
 
 def judged(found: DataFrame, share: int = 20) -> DataFrame:
-    """`found` of find_windows with `n_words`, `n_hit`, `n_items`, `items_sha256` and `contaminated` in place of the three."""
+    """`found` of find_windows with `n_words`, `n_hit`, `n_items`, `items_sha256` and `contaminated` in place of the three.
+
+    A null id counts in `n_items` and has no part in `items_sha256`.
+    """
     hit = F.aggregate("_spans", F.lit(0).cast("long"), lambda total, span: total + span["stop"] - span["start"])
     return (
         found.withColumn("n_words", F.col("_n_words"))

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from debutline.llm import components, decontaminate, digest, html_extract, language, mix, quality, simhash, token_counts, token_file, warc
-from debutline.llm.queries import tokenizer_path
+from debutline.llm.queries import SQL, tokenizer_path
 from debutline.llm.shared import numbered
 
 WORD = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
@@ -76,6 +76,21 @@ def test_windows_are_found(spark, texts, window, block_words, shard_bytes):
     assert got == windows_by_hand(rows, items, window)
 
 
+@pytest.mark.parametrize("block_words", [10**6, 8])
+def test_items_without_an_id_are_searched(spark, block_words):
+    rows = [(1, "a b c d e f"), (2, "x y z and w"), (3, "a b c x y z"), (4, "q")]
+    items = [(None, "a b c"), (7, "d e f"), (None, "x y z"), (8, None), (None, "")]
+    given = docs(spark, plain(rows)), spark.createDataFrame(items, "item_id long, text string")
+    got = sorted(tuple(r) for r in decontaminate.judged(decontaminate.find_windows(*given, block_words=block_words).select("doc_id", "_n_words", "_spans", "_items")).collect())
+    con = duckdb.connect()
+    for name, held in (("documents(doc_id BIGINT, text VARCHAR)", rows), ("benchmark(item_id BIGINT, text VARCHAR)", items)):
+        con.execute(f"CREATE TABLE {name}")
+        con.executemany(f"INSERT INTO {name.split('(')[0]} VALUES (?, ?)", held)
+    assert got == sorted(con.execute(SQL["op5_decontaminate"]).fetchall())
+    assert [row[1:4] for row in got] == [(6, 6, 2), (5, 3, 1), (6, 6, 1), (1, 0, 0)]
+    assert [r["doc_id"] for r in decontaminate.remove_contaminated(*given, block_words=block_words).collect()] == [4]
+
+
 def test_longest_matches(spark):
     rows = plain([(1, "x one two three four y"), (2, "two three four five"), (3, None)])
     bench = spark.createDataFrame([(1, "zero one two three four five"), (2, "")], "item_id long, text string")
