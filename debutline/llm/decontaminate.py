@@ -203,8 +203,25 @@ def make_block(items: list[tuple[str | None, np.ndarray]], window: int) -> Block
     )
 
 
-def item_blocks(benchmark: DataFrame, item_id: str, text: str, window: int, block_words: int) -> Iterator[Block]:
-    """The benchmark in blocks, streamed; items without words have no window."""
+def pieces(words: np.ndarray, window: int, most: int) -> Iterator[np.ndarray]:
+    """`words` in parts within the bounds of a block that overlap by window - 1 words, so each window is in one of them."""
+    first = 0
+    while True:
+        part = words[first : first + most]
+        fresh = np.sort(np.unique(part, return_index=True)[1])
+        size = len(part) if len(fresh) <= BLOCK_VOCABULARY else int(fresh[BLOCK_VOCABULARY])
+        size = max(size, min(window, len(words) - first))
+        yield words[first : first + size]
+        if first + size >= len(words):
+            return
+        first += size - window + 1
+
+
+def item_blocks(benchmark: DataFrame, item_id: str, text: str, window: int | None, block_words: int) -> Iterator[Block]:
+    """The benchmark in blocks, streamed; items without words have no window.
+
+    An item over the bounds of a block is cut into several. Without a window items stay whole; one with too many distinct words raises.
+    """
     held: list[tuple[str | None, np.ndarray]] = []
     words, seen = 0, set()
     for row in benchmark.select(F.col(item_id).cast("string"), F.col(text)).toLocalIterator():
@@ -212,13 +229,16 @@ def item_blocks(benchmark: DataFrame, item_id: str, text: str, window: int, bloc
         hashes, _ = word_hashes(data, np.array([0, len(data)]))
         if not len(hashes):
             continue
-        more = set(hashes.tolist())
-        if held and (words + len(hashes) > block_words or len(seen | more) > BLOCK_VOCABULARY):
-            yield make_block(held, window)
-            held, words, seen = [], 0, set()
-        held.append((row[0], hashes))
-        words, seen = words + len(hashes), seen | more
-    yield make_block(held, window)
+        for part in [hashes] if window is None else pieces(hashes, window, block_words):
+            more = set(part.tolist())
+            if window is None and len(more) > BLOCK_VOCABULARY:
+                raise ValueError(f"item {row[0]} has more than {BLOCK_VOCABULARY} distinct words")
+            if held and (words + len(part) > block_words or len(seen | more) > BLOCK_VOCABULARY):
+                yield make_block(held, window or WINDOW)
+                held, words, seen = [], 0, set()
+            held.append((row[0], part))
+            words, seen = words + len(part), seen | more
+    yield make_block(held, window or WINDOW)
 
 
 class Shard:
@@ -395,7 +415,7 @@ def remove_contaminated(documents: DataFrame, benchmark: DataFrame, **options) -
 def longest_matches(documents: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text", block_words: int = BLOCK_WORDS, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """For every suffix of every item (item_id, item_word): the longest verbatim match over all documents and one place of it.
 
-    The first document by id is named where several hold a match of that length. Suffixes without any match are left out.
+    An item with more than `BLOCK_VOCABULARY` distinct words raises, as a match may be as long as the item. The first document by id is named where several hold a match of that length. Suffixes without any match are left out.
     """
     spark = documents.sparkSession
     schema = "item_id string, item_word long, n_words long, doc_id string, doc_word long"
@@ -425,7 +445,7 @@ def longest_matches(documents: DataFrame, benchmark: DataFrame, doc_id: str = "d
         return scan
 
     out = None
-    for block in item_blocks(benchmark, item_id, item_text, WINDOW, block_words):
+    for block in item_blocks(benchmark, item_id, item_text, None, block_words):
         part = documents.select(F.col(doc_id).cast("string").alias("_id"), F.col(text).alias("_text")).mapInArrow(scan_of(spark.sparkContext.broadcast(block)), schema)
         out = part if out is None else out.unionAll(part)
     best = F.min_by(F.struct("n_words", "doc_id", "doc_word"), F.struct(-F.col("n_words"), "doc_id", "doc_word"))

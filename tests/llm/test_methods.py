@@ -91,6 +91,22 @@ def test_items_without_an_id_are_searched(spark, block_words):
     assert [r["doc_id"] for r in decontaminate.remove_contaminated(*given, block_words=block_words).collect()] == [4]
 
 
+def test_wide_items_are_cut(spark, monkeypatch):
+    monkeypatch.setattr(decontaminate, "BLOCK_VOCABULARY", 20)
+    rng = random.Random(8)
+    wide, narrow = [f"w{rng.randint(0, 70)}" for _ in range(200)], ["a b c d", "w1 w2"]
+    rows = [(k, " ".join([*wide[k * 9 : k * 9 + 14], "z", *wide[k : k + 5]])) for k in range(21)] + [(50, " ".join(wide)), (51, "a b c d")]
+    items = [(1, narrow[0]), (2, " ".join(wide)), (3, narrow[1])]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    blocks = list(decontaminate.item_blocks(bench, "item_id", "text", 5, 10**6))
+    assert max(len(block.vocabulary) for block in blocks) <= 20
+    found = decontaminate.find_windows(docs(spark, plain(rows)), bench, window=5)
+    got = sorted((tuple(row) for row in decontaminate.judged(found.select("doc_id", "_n_words", "_spans", "_items")).collect()), key=str)
+    assert got == windows_by_hand(rows, items, 5)
+    with pytest.raises(ValueError, match="distinct words"):
+        decontaminate.longest_matches(docs(spark, plain(rows)), bench)
+
+
 def test_longest_matches(spark):
     rows = plain([(1, "x one two three four y"), (2, "two three four five"), (3, None)])
     bench = spark.createDataFrame([(1, "zero one two three four five"), (2, "")], "item_id long, text string")
