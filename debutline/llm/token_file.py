@@ -61,9 +61,9 @@ def _model(path: str):
 class WordIds:
     """Ids of texts. The vocabulary drops white space, so words between ASCII white space are encoded once and remembered.
 
-    As it also lower-cases, and never joins a sign to letters, a word's ids are those of its lower-case form, and a sign after an
-    ASCII letter has ids of its own; far fewer forms than words are encoded, and plain ones by the model directly. All other words
-    reach the tokenizer as they are.
+    As it also lower-cases, and never joins a sign to letters, the ids of a word of plain letters are those of its lower-case form, and a
+    sign after an ASCII letter has ids of its own; far fewer forms than words are encoded, by the model directly. All other words
+    reach the tokenizer as they are and are known by their own bytes only.
     """
 
     def __init__(self, path: str, most_words: int = CACHED_WORDS):
@@ -76,16 +76,13 @@ class WordIds:
             sign = b""
             if low[-1] in b".,;:!?" and len(low) > 1 and 97 <= low[-2] <= 122:
                 low, sign = low[:-1], low[-1:]
+            letters = low.isalpha()  # ASCII letters, as bytes go
+            if not letters and not _PLAIN.fullmatch(low.decode("utf-8", "replace")):
+                other.append(word)
+                continue
             ids = known.get(low)
             if ids is None:
-                if low.isalpha():  # ASCII letters, as bytes go
-                    text = low.decode()
-                else:
-                    text = low.decode("utf-8", "replace")
-                    if not _PLAIN.fullmatch(text):
-                        other.append(word)
-                        continue
-                    text = "".join([_BYTE_LETTERS[byte] for byte in low])
+                text = low.decode() if letters else "".join([_BYTE_LETTERS[byte] for byte in low])
                 ids = known[low] = array("I", [token.id for token in tokenize(text)]).tobytes()
             if sign:
                 if sign not in known:

@@ -253,6 +253,13 @@ def test_words_are_encoded_as_whole_texts(texts):
     assert [ids.tolist() for ids in token_file.WordIds(path, 50).encode(made)] == [code.ids for code in want]
 
 
+def test_ids_do_not_depend_on_words_met_before():
+    path = tokenizer_path("word_bpe_49k.json")
+    words = token_file.WordIds(path)
+    for text in ["<|endoftext|>", "<|ENDOFTEXT|>", "<|EndOfText|>.", "j\u030c", "J\u030c", "J\u030cx!", "don't", "DON'T", "Don't."]:
+        assert words.encode([text])[0].tolist() == Tokenizer.from_file(path).encode(text, add_special_tokens=False).ids
+
+
 @pytest.mark.parametrize("size, symbols", [(0, 1), (1, 1), (2, 2), (700, 3), (20_000, 900), (60_000, 30_000)])
 def test_code_round_trip(size, symbols):
     ids = (np.random.default_rng(4).zipf(1.2, size) % symbols).astype(np.int64)
