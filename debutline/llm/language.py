@@ -180,6 +180,16 @@ def _has_letter(value: str | None) -> bool:
     return bool(value) and any(map(str.isalpha, value))
 
 
+def with_letters(documents: DataFrame, text: str = "text") -> DataFrame:
+    """The rows whose text has a letter, by the rule of `predict`; no model is needed."""
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array([_has_letter(value.as_py()) for value in batch.column(text)], pa.bool_()))
+
+    return documents.mapInArrow(scan, documents.schema)
+
+
 def predict(documents: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """`documents` with `_lang` and `_score` (0 to 1) added; null texts and texts without a letter are `und` with score 0.
 
