@@ -8,6 +8,7 @@ with the highest sum in which whatever is kept has its ancestors kept, so no blo
 Labels come from the given pages themselves: in a bounded sample, pages that name their article (`<article>`, `<main>`, role=main)
 are labelled by it, and variants of them (other tags and class names, added menus, notices, forms, comments, lists) keep the
 labels of their parts. Nothing is dropped by a list of names but what never shows as text: scripts, styles, form controls and the like.
+Math, xmp and the fallback text of noscript, object, noembed and noframes are left to the trees.
 """
 
 from __future__ import annotations
@@ -35,10 +36,10 @@ DOUBT = 1.0  # log-odds for keeping what only variants taught
 
 # --- fixed values of HTML
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title xmp noembed noframes".split())
-HIDDEN = frozenset("script style textarea title xmp noembed noframes head noscript template svg math iframe object canvas audio video map select option button datalist input".split())
+RAW = frozenset("script style textarea title xmp".split())
+HIDDEN = frozenset("script style textarea title head template svg annotation annotation-xml iframe canvas audio video map select option button datalist input".split())
 INLINE = frozenset(
-    "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark nobr q rp rt ruby s samp small span strike strong sub sup time tt u var wbr input button select textarea option picture".split()
+    "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark nobr q rp rt ruby s samp small span strike strong sub sup time tt u var wbr input button select textarea option picture math mi mn mo ms mtext mspace mrow mfrac msqrt mroot mstyle merror mpadded mphantom msub msup msubsup munder mover munderover mmultiscripts mprescripts mtable mtr mtd semantics annotation annotation-xml maction".split()
 )
 CELLS = frozenset("td th".split())
 ENDS_P = frozenset(
@@ -167,7 +168,7 @@ def parse(source: str) -> Page:
         if tag in RAW:
             end = re.compile(rf"</{tag}(?=[\s/>]|$)", re.I).search(source, at)
             stop = end.start() if end else size
-            events.append((node, source[at:stop]))
+            events.append((node, source[at:stop].replace("&", "&amp;") if tag == "xmp" else source[at:stop]))
             at = source.find(">", stop) + 1 if end else size
             at = at or size
             continue
@@ -422,6 +423,7 @@ def variant(source: str, rng: random.Random) -> str:
         lambda: _closed(rng.choice(_COMMENTS), f"<h3>{some(1, 3)}</h3>{note()}", "0"),
         lambda: _closed(rng.choice(_HEADER), rng.choice([some(1, 6), f"<h1>{some(1, 5)}</h1>", links(4)]), "0"),
         lambda: _closed(rng.choice(_FOOTER), rng.choice([some(3, 40), links(6), f"<p>{some(3, 40)}</p>"]), "0"),
+        lambda: _closed(rng.choice(["<noscript>", "<noframes>", "<object>", "<noembed>"]), rng.choice([some(3, 20), f"<p>{some(3, 20)}.</p>", links(1)]), "0"),
     ]
     good = [
         lambda: f"<h2>{some(1, 8)}</h2>",
@@ -432,6 +434,9 @@ def variant(source: str, rng: random.Random) -> str:
         lambda: f"<p>{some(1, 3)}</p>",
         lambda: f"<p>{some(10, 80)} <a href='/y'>{some(1, 5)}</a> {some(3, 20)}.</p>",
         lambda: f"<pre>{some(3, 20)}</pre>",
+        lambda: f"<xmp>{some(3, 20)}</xmp>",
+        lambda: f"<p>{some(3, 20)} <math><mi>{some(1, 1)}</mi><mo>=</mo><mn>{some(1, 1)}</mn></math> {some(3, 20)}.</p>",
+        lambda: f"<{shown}>{rng.choice([some(3, 30), paragraphs(1)])}</{shown.split()[0]}>" if (shown := rng.choice(["noscript", "object data='/z'", "noembed", "noframes"])) else "",
     ]
     inside = [part for part in re.split(r"(?=<(?:p|h\d|ul|div)\b)", inner) if part]
     if rng.random() < 0.3:  # short articles are articles too

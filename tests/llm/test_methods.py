@@ -436,6 +436,19 @@ def test_markup_is_read():
     assert text("<ul><li>a<li>b</ul>c<textarea>d</textarea><select><option>e</select>") == "a\n\nb\n\nc"
 
 
+def test_shown_text_is_left_to_the_trees(spark):
+    given = spark.read.parquet("/root/testdata/sf0.001/pages.parquet").select("page_id", "html")
+    forest = html_extract.fit(given, train_pages=60)
+    words = "the words of a long paragraph in the article, and then some more of them. " * 4
+    shown = "<p>where <math><mi>x</mi><mo>=</mo><mn>2</mn><annotation>tex</annotation></math> holds</p><xmp><b>&lt;</xmp>"
+    shown += "".join(f"<{tag}><p>kept {tag} {words}</p></{tag}>" for tag in ("noscript", "object", "noembed", "noframes"))
+    page = f"<html><body><nav><ul><li><a href='/a'>menu</a></li></ul></nav><noscript>Please enable scripts.</noscript><article><h1>Head</h1><p>{words}</p>{shown}<p>{words}</p></article></body></html>"
+    text = html_extract.main_texts([page], forest)[0]
+    assert "where x=2 holds" in text and "<b>&lt;" in text and "tex\n" not in text and "menu" not in text
+    assert all(f"kept {tag} the words" in text for tag in ("noscript", "object", "noembed", "noframes"))
+    assert "enable scripts" not in text
+
+
 def test_decoding_keeps_ancestors():
     page = html_extract.parse("<div><p>a</p><nav><p>b</p></nav></div>")
     rows, _ = html_extract.features(page)
