@@ -53,7 +53,8 @@ STAGES = [
     ("token_id_output", token_ids),
 ]
 
-# tokenisation and balanced sampling have no SQL form; the tests compare every stage with a brute-force version
+# tokenisation and balanced sampling have no SQL form; tests/llm compares the rows that stages keep, and the token table, with brute force;
+# of the mixture only sources with a forced result and totals can be compared
 ORACLE_SQL = None
 
 
