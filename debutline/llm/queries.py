@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from debutline.llm import decontaminate, digest, html_extract, language, mix, quality, simhash, token_counts, token_file, warc
+from debutline.llm import decontaminate, digest, html_extract, incremental_means, language, manifest, mix, piece_codec, quality, simhash, token_counts, token_file, warc
 from debutline.llm.shared import table
 
 
@@ -73,6 +73,21 @@ def op8_quality(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_kmeans(spark: SparkSession, folder: str) -> DataFrame:
+    return incremental_means.cluster(table(spark, folder, "embeddings").select("vec_id", "embedding"))
+
+
+def op12_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    every_fifth = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    fields = ["doc_id", "source", "lang", "n_chars", "text"]
+    return manifest.manifest(table(spark, folder, "documents").select(*fields), fields, tampered=every_fifth)
+
+
+def op13_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    found = piece_codec.round_trip(table(spark, folder, "documents").select("doc_id", "text"), tokenizer_path("piece_bpe_32k.model"))
+    return found.select("doc_id", *[F.col(f"_{name}").alias(name) for name in ("n_tokens", "ids_sha256", "decoded_sha256")])
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix": op1_mix,
     "op2_html": op2_html,
@@ -84,6 +99,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": op8_quality,
     "op9_warc": op9_warc,
     "op10_simhash": op10_simhash,
+    "op11_kmeans": op11_kmeans,
+    "op12_manifest": op12_manifest,
+    "op13_pieces": op13_pieces,
 }
 
 # 20 bits of a hash are 5 hex digits and 4 letters of base32
@@ -119,4 +137,90 @@ SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
 FROM d LEFT JOIN c USING (doc_id) LEFT JOIN n USING (doc_id)
 """
 
-SQL: dict[str, str] = {"op5_decontaminate": WINDOW_SQL, "op9_warc": WARC_SQL}
+
+
+def means_sql(dimensions: int = 64, centroids: int = 40, rounds: int = 5, scale: int = 256, salt: str = "2:") -> str:
+    """Every round spelled out: all distances anew, then the floors of the means."""
+    parts = [
+        f"""v AS MATERIALIZED (SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: CAST(floor({scale} * CAST(x AS DOUBLE)) AS BIGINT)) AS x
+  FROM embeddings WHERE len(embedding) = {dimensions} AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = {dimensions})""",
+        f"""c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY sha256('{salt}' || vec_id), x) - 1 AS k, x AS c FROM v ORDER BY k LIMIT {centroids})""",
+    ]
+    for turn in range(rounds + 1):
+        parts.append(
+            f"""a{turn} AS MATERIALIZED (SELECT r, vec_id, x, k, d FROM (
+  SELECT r, vec_id, x, k, CAST(list_sum(list_transform(list_zip(x, c), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS BIGINT) AS d FROM v CROSS JOIN c{turn})
+  QUALIFY row_number() OVER (PARTITION BY r ORDER BY d, k) = 1)"""
+        )
+        if turn < rounds:
+            parts.append(
+                f"""s{turn} AS (SELECT k, j, sum(xj) AS s, count(*) AS n FROM (SELECT k, unnest(x) AS xj, unnest(range(1, {dimensions + 1})) AS j FROM a{turn}) GROUP BY k, j),
+m{turn} AS (SELECT k, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY j) AS c FROM s{turn} GROUP BY k),
+c{turn + 1} AS MATERIALIZED (SELECT c{turn}.k, coalesce(m{turn}.c, c{turn}.c) AS c FROM c{turn} LEFT JOIN m{turn} ON m{turn}.k = c{turn}.k)"""
+            )
+    return f"""WITH {", ".join(parts)}
+SELECT vec_id, CAST(k AS INTEGER) AS cluster, d AS distance, CAST(sum(d) OVER (PARTITION BY k) AS BIGINT) AS cluster_inertia, CAST(sum(d) OVER () AS BIGINT) AS inertia,
+  sha256(array_to_string(c, ',')) AS centroid_sha256
+FROM a{rounds} JOIN c{rounds} USING (k)"""
+
+
+def manifest_sql(levels: int = 6, fanout: int = 16) -> str:
+    """The levels of every tree as lists, one after the other; `levels` of them are enough for fanout ** levels rows of a source."""
+
+    def field(name: str) -> str:
+        return f"CASE WHEN {name} IS NULL THEN '-' ELSE octet_length(encode(CAST({name} AS VARCHAR))) || ':' || {name} END"
+
+    low = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    fields = ["doc_id", "source", "lang", "n_chars", "text"]
+    leaf = "sha256(" + " || ".join(map(field, fields)) + ")"
+    now = "sha256(" + " || ".join([*map(field, fields[:-1]), f"CASE WHEN text IS NULL THEN '-' ELSE octet_length(encode({low})) || ':' || {low} END"]) + ")"
+    # a bit at a time, as there is no such function: a byte goes in, then come eight shifts
+    crc = """xor(list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(range(1, length(CAST(doc_id AS VARCHAR)) + 1), lambda i:
+    [CAST(ascii(substr(CAST(doc_id AS VARCHAR), i, 1)) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1]))),
+    lambda c, b: CASE WHEN b >= 0 THEN xor(c, b) ELSE xor(c >> 1, 3988292384 * (c & 1)) END), 4294967295)"""
+
+    def tree(name: str) -> list[str]:
+        up = [f"len(l{k}) AS n{k}" for k in range(levels + 1)]
+        chain = []
+        for k in range(levels):
+            base = name if k == 0 else f"{name}_{k}"
+            following = f"CASE WHEN len(l{k}) <= 1 THEN l{k} ELSE list_transform(range(0, len(l{k}), {fanout}), lambda i: sha256(array_to_string(list_slice(l{k}, i + 1, i + {fanout}), ''))) END AS l{k + 1}"
+            chain.append(f"{name}_{k + 1} AS (SELECT *, {following} FROM {base})")
+        chain.append(f"{name}_up AS MATERIALIZED (SELECT *, {', '.join(up)} FROM {name}_{levels})")
+        return chain
+
+    def siblings(tree: str, at: str) -> str:
+        parts = []
+        for k in range(levels):
+            place = f"({at} // {fanout ** k})"
+            first = f"({place} - {place} % {fanout})"
+            run = f"array_to_string(list_slice({tree}.l{k}, {first} + 1, {place}) || list_slice({tree}.l{k}, {place} + 2, {first} + {fanout}), '')"
+            parts.append(f"CASE WHEN {tree}.n{k} > 1 THEN {run} ELSE '' END")
+        return " || ".join(parts)
+
+    def fold(tree: str, at: str, start: str) -> list[str]:
+        steps = [f"{start} AS f0"]
+        for k in range(levels):
+            place = f"({at} // {fanout ** k})"
+            first = f"({place} - {place} % {fanout})"
+            sides = [f"array_to_string(list_slice({tree}.l{k}, {first} + 1, {place}), '')", f"array_to_string(list_slice({tree}.l{k}, {place} + 2, {first} + {fanout}), '')"]
+            steps.append(f"CASE WHEN {tree}.n{k} > 1 THEN sha256({sides[0]} || f{k} || {sides[1]}) ELSE f{k} END AS f{k + 1}")
+        return steps
+
+    sources = ", ".join(["g AS (SELECT source, list(leaf ORDER BY doc_id NULLS FIRST, leaf) AS l0 FROM d GROUP BY source)", *tree("g")])
+    whole = ", ".join(["w AS (SELECT list(l0[1] ORDER BY source NULLS FIRST) AS l0 FROM (SELECT source, l%d AS l0 FROM g_up))" % levels, *tree("w")])
+    return f"""
+WITH d AS MATERIALIZED (SELECT doc_id, source, {leaf} AS leaf, CASE WHEN ({crc}) % 5 = 0 THEN {now} END AS now,
+    row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, {leaf}) - 1 AS p FROM documents),
+{sources},
+{whole},
+o AS (SELECT source, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS q FROM g),
+e AS (SELECT d.*, q FROM d JOIN o ON o.source IS NOT DISTINCT FROM d.source),
+x AS (SELECT doc_id, leaf, q, g_up.l{levels}[1] AS subroot, w_up.l{levels}[1] AS root, sha256({siblings("g_up", "p")} || {siblings("w_up", "q")}) AS proof_sha256,
+    {", ".join(fold("g_up", "p", "coalesce(now, leaf)"))}
+  FROM e JOIN g_up ON g_up.source IS NOT DISTINCT FROM e.source CROSS JOIN w_up),
+y AS (SELECT doc_id, leaf, subroot, root, proof_sha256, {", ".join(fold("w_up", "q", f"x.f{levels}")).replace(" AS f", " AS h").replace("|| f", "|| h").replace("ELSE f", "ELSE h")} FROM x CROSS JOIN w_up)
+SELECT doc_id, leaf, subroot, root, proof_sha256, h{levels} AS folded_root, h{levels} = root AS verified FROM y"""
+
+
+SQL: dict[str, str] = {"op5_decontaminate": WINDOW_SQL, "op9_warc": WARC_SQL, "op11_kmeans": means_sql(), "op12_manifest": manifest_sql()}

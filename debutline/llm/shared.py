@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from debutline.session import scratch_path
 
-__all__ = ["cut_lineage", "scratch_path", "table", "text_bytes", "shards", "numbered", "picked"]
+__all__ = ["cut_lineage", "discard", "scratch_path", "table", "text_bytes", "shards", "numbered", "picked"]
 
 
 def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
@@ -94,3 +94,10 @@ def picked(documents: DataFrame, chosen: DataFrame, text: str, keys: list[str])
         again = held.where("_rows > 1").dropDuplicates([*(f"_key_{at}" for at in range(len(keys))), "_of"])
         out = out.unionAll(again.select(*names, "_times"))
     return out.select(*names, F.explode(F.sequence(F.lit(1), F.col("_times").cast("int"))).alias("_copy")).drop("_copy")
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Drop a folder of the shared folder that a later table has replaced."""
+    jvm = spark._jvm
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
