@@ -20,6 +20,8 @@ def build_session(app_name: str = "debutline", master: str | None = None, **conf
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # models that are fitted side by side take turns
+        "spark.scheduler.mode": "FAIR",
     }
     settings.update(conf)
     builder = SparkSession.builder.appName(app_name)
