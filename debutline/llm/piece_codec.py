@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from debutline.llm.cuts import BREAK, MOST_CUTS, CutStream
 from debutline.llm.shared import shards
 
 SPACE = "▁"
@@ -32,14 +33,8 @@ REPLACEMENT = "�"
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
 MERGES = 2
 BYTE_NAME = re.compile("<0x([0-9A-F]{2})>")
-# stands between texts: half of a surrogate pair, which no text holds
-BREAK = "\ud800"
 # a control piece inside a text ends a run of byte pieces; this byte is in no UTF-8 text
 NOTHING = b"\xff"
-# odd numbers with bits all over
-FACTORS = [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5]
-MOST_CUTS = 3_000_000
-WINDOW = 1 << 20
 BATCH_BYTES = 4 << 20
 
 
@@ -167,62 +162,12 @@ def merged(text: str, rank: dict[str, float]) -> list[str]:
     return [symbol for symbol in symbols if symbol]
 
 
-class Cuts:
-    """The cuts met so far: ids by a 64-bit hash of the characters, told apart by a second one."""
-
-    def __init__(self, turn: int):
-        # odd factors have an inverse, so the hash of a cut does not depend on its place in the stream
-        self.factors = FACTORS[turn % len(FACTORS)], FACTORS[(turn + 1) % len(FACTORS)]
-        self.keys = np.zeros(0, np.uint64)
-        self.rows = np.zeros(0, np.int64)
-        self.checks = np.zeros(0, np.uint64)
-        self.starts, self.sizes = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.ids = np.zeros(0, np.uint32)
-        self.powers = [np.ones(1, np.uint64)] * 4
-
-    def _grown(self, size: int) -> list[np.ndarray]:
-        if len(self.powers[0]) < size:
-            one, two = self.factors
-            self.powers = []
-            for factor in (one, pow(one, -1, 1 << 64), two, pow(two, -1, 1 << 64)):
-                steps = np.full(size, factor, np.uint64)
-                steps[0] = 1
-                self.powers.append(np.cumprod(steps))
-        return self.powers
-
-    def hashes(self, points: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        one, one_back, two, two_back = self._grown(len(points) + 1)
-        out = []
-        for up, down in ((one, one_back), (two, two_back)):
-            sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum((points.astype(np.uint64) + np.uint64(1)) * up[: len(points)])])
-            out.append((sums[ends] - sums[starts]) * down[starts])
-        return out[0], out[1]
-
-    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(row of each key, whether it is known)"""
-        at = np.searchsorted(self.keys, keys)
-        known = at < len(self.keys)
-        known[known] = self.keys[at[known]] == keys[known]
-        return np.where(known, self.rows[np.minimum(at, len(self.rows) - 1)] if len(self.rows) else 0, -1), known
-
-    def add(self, keys: np.ndarray, checks: np.ndarray, ids: list[bytes]) -> None:
-        """New keys, in ascending order."""
-        sizes = np.array([len(row) // 4 for row in ids], np.int64)
-        rows = len(self.checks) + np.arange(len(keys))
-        at = np.searchsorted(self.keys, keys)
-        self.keys, self.rows = np.insert(self.keys, at, keys), np.insert(self.rows, at, rows)
-        self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(sizes) - sizes])
-        self.sizes = np.concatenate([self.sizes, sizes])
-        self.checks = np.concatenate([self.checks, checks])
-        self.ids = np.concatenate([self.ids, np.frombuffer(b"".join(ids), np.uint32)])
-
-
 class PieceCodec:
     """Encoder and decoder of one vocabulary, with the cuts that a worker has met so far; about `most` cuts are remembered."""
 
     def __init__(self, path: str, most: int = MOST_CUTS):
-        self.path, self.most, self.vocabulary = path, most, vocabulary(path)
-        self.turn, self.cuts = 0, Cuts(0)
+        self.path, self.vocabulary = path, vocabulary(path)
+        self.stream = CutStream(most)
         known = self.vocabulary
         # a character that no piece joins to another one: in front of a cut it keeps the library's own prefix away
         self.guard = next(c for c in map(chr, [*range(1, 32), *range(0xE000, 0xF8FF)]) if c not in known.classes)
@@ -252,47 +197,14 @@ class PieceCodec:
                 if own != array("I", found[skip:]).tobytes():
                     raise ValueError(f"the agenda and the library differ on {cut[:200]!r}")
 
-    def _window(self, text: str) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of a part of the stream that ends at a cut, and where ids of breaks begin."""
-        known = self.vocabulary
-        points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
-        points[points == 32] = ord(SPACE)
-        kinds = known.class_of[points]
-        edges = np.flatnonzero(~known.joins[kinds[:-1], kinds[1:]]) + 1
-        starts = np.concatenate([[0], edges])
-        ends = np.concatenate([edges, [len(points)]])
-        keys, checks = self.cuts.hashes(points, starts, ends)
-        different, first, place = np.unique(keys, return_index=True, return_inverse=True)
-        rows, found = self.cuts.find(different)
-        if (checks != checks[first][place]).any() or (self.cuts.checks[rows[found]] != checks[first][found]).any():
-            raise _Collision
-        if not found.all():
-            new = np.flatnonzero(~found)
-            spelled = [text[a:b].replace(" ", SPACE) for a, b in zip(starts[first[new]].tolist(), ends[first[new]].tolist())]
-            ids = [self._ids_of(cut) for cut in spelled]
-            self._check(spelled, ids)
-            self.cuts.add(different[new], checks[first[new]], ids)
-            rows, _ = self.cuts.find(different)
-        rows = rows[place]
-        sizes = self.cuts.sizes[rows]
-        before = np.cumsum(sizes) - sizes
-        take = np.arange(int(sizes.sum())) + np.repeat(self.cuts.starts[rows] - before, sizes)
-        return self.cuts.ids[take], before[points[starts] == ord(BREAK)]
-
-    def _stream(self, text: str) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all texts, with breaks between them, and where ids of breaks begin; in windows, whatever the length of a text."""
-        joined, at, ids, breaks, done = self.vocabulary.joined, 0, [], [], 0
-        if len(self.cuts.checks) > self.most:
-            self.cuts = Cuts(self.turn)
-        while at < len(text):
-            end = at + WINDOW
-            while end < len(text) and text[end - 1 : end + 1].replace(" ", SPACE) in joined:
-                end += 1
-            part, where = self._window(text[at:end])
-            ids.append(part)
-            breaks.append(where + done)
-            done, at = done + len(part), end
-        return np.concatenate(ids) if ids else np.zeros(0, np.uint32), np.concatenate(breaks) if breaks else np.zeros(0, np.int64)
+    def _edges(self, points: np.ndarray) -> np.ndarray:
+        kinds = self.vocabulary.class_of[points]
+        return ~self.vocabulary.joins[kinds[:-1], kinds[1:]]
+
+    def _learn(self, cuts: list[str]) -> list[bytes]:
+        ids = [self._ids_of(cut) for cut in cuts]
+        self._check(cuts, ids)
+        return ids
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers, between the begin and the end id."""
@@ -300,14 +212,8 @@ class PieceCodec:
             return []
         known = self.vocabulary
         prefix = SPACE if known.dummy_prefix else ""
-        text = BREAK.join([prefix + text if text else "" for text in texts])
-        while True:
-            try:
-                ids, breaks = self._stream(text)
-                break
-            except _Collision:
-                self.turn += 1
-                self.cuts = Cuts(self.turn)
+        text = BREAK.join([prefix + text if text else "" for text in texts]).replace(" ", SPACE)
+        ids, breaks = self.stream.encode(text, self._edges, self._learn)
         data = np.concatenate([[known.begin], ids, [known.end]]).astype("<u4").tobytes()
         edges = [0, *((breaks + 2) * 4).tolist(), len(data)]
         rows = [data[a:b] for a, b in zip(edges, edges[1:])]
@@ -353,10 +259,6 @@ class PieceCodec:
         return b"".join(out)
 
 
-class _Collision(Exception):
-    """Two cuts have one hash; the next factors tell them apart."""
-
-
 def _each_bad_byte(run: bytes) -> bytes:
     out = ""
     while run:

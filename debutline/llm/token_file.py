@@ -10,13 +10,13 @@ Texts are tokenised where they are read; what is shuffled, once and by ranges of
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import zlib
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -24,13 +24,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from debutline.llm.shared import cut_lineage, scratch_path
+from debutline.llm.cuts import BREAK, CutStream
+from debutline.llm.shared import cut_lineage, scratch_path, shards
 
 END_ID = 1
 MOST_BITS = 16
 BLOCK_IDS = 1 << 16
 STRIDE = 256
-CACHED_WORDS = 1_200_000
+CACHED_WORDS = 1_500_000
+BATCH_BYTES = 4 << 20
 _TOGETHER = 1 << 20
 
 
@@ -51,6 +53,28 @@ _LETTER_OF = {byte: chr(byte) for byte in _PRINTED} | {byte: chr(256 + k) for k,
 _BYTE_LETTERS = [_LETTER_OF[byte] for byte in range(256)]
 # words that normalising and splitting leave as they are: the model alone is several times as fast on them
 _PLAIN = re.compile("[a-zß-öø-ÿ]+")
+# fixed values: how a tokenizer file must treat texts for words to be encoded on their own
+_NORMALIZER = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
+_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_BYTES = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}
+
+# kinds of ASCII characters; all others, and those that special tokens are made of, are OTHER and cut from nothing but white space
+OTHER, WHITE, LETTER, SIGN, QUOTE, DIGIT, BETWEEN = range(7)
+_KINDS = np.zeros(0x110000, np.uint8)
+_KINDS[[9, 10, 11, 12, 13, 32]] = WHITE
+_KINDS[[*range(65, 91), *range(97, 123)]] = LETTER
+_KINDS[[c for c in range(33, 127) if not chr(c).isalnum() and chr(c) not in "'|"]] = SIGN
+_KINDS[39] = QUOTE
+_CAPITAL = np.zeros(0x110000, bool)
+_CAPITAL[65:91] = True
+_KINDS[48:58] = DIGIT
+_KINDS[ord(BREAK)] = BETWEEN
+# is there a cut between kinds? A quote stays with the letters after it, as it may be a contraction
+_CUT = np.zeros((7, 7), bool)
+_CUT[WHITE, :] = _CUT[:, WHITE] = True
+_CUT[WHITE, WHITE] = False
+_CUT[LETTER, [SIGN, QUOTE, DIGIT]] = _CUT[SIGN, [LETTER, DIGIT]] = _CUT[DIGIT, [LETTER, SIGN, QUOTE, DIGIT]] = _CUT[QUOTE, DIGIT] = True
+_CUT[BETWEEN, :] = _CUT[:, BETWEEN] = True
 
 
 @lru_cache(maxsize=2)
@@ -58,60 +82,93 @@ def _model(path: str):
     return _tokenizer(path).model
 
 
+@lru_cache(maxsize=2)
+def splits_words(path: str) -> bool:
+    """Does the tokenizer drop white space, lower-case, and never join a sign or a digit to a letter? Then cuts have ids of their own."""
+    with open(path, encoding="utf-8") as file:
+        rules = json.load(file)
+    split = {"type": "Split", "pattern": {"Regex": _SPLIT}, "behavior": "Removed", "invert": True}
+    special = all(re.fullmatch(r"<\|[a-z]+\|>", token["content"]) and not (token["lstrip"] or token["rstrip"] or token["single_word"]) for token in rules["added_tokens"])
+    return (
+        special
+        and rules["normalizer"] == {"type": "Sequence", "normalizers": _NORMALIZER}
+        and rules["pre_tokenizer"] == {"type": "Sequence", "pretokenizers": [split, _BYTES]}
+        and rules["post_processor"] is None
+        and rules["model"]["type"] == "BPE"
+    )
+
+
 class WordIds:
-    """Ids of texts. The vocabulary drops white space, so words between ASCII white space are encoded once and remembered.
+    """Ids of texts.
 
-    As it also lower-cases, and never joins a sign to letters, the ids of a word of plain letters are those of its lower-case form, and a
-    sign after an ASCII letter has ids of its own; far fewer forms than words are encoded, by the model directly. All other words
-    reach the tokenizer as they are and are known by their own bytes only.
+    Where the tokenizer keeps words apart (`splits_words`), texts are cut at white space and between letters, signs and digits, and each distinct cut is encoded once;
+    cuts of ASCII letters are known by their lower-case form, and those of plain letters reach the model directly. Any other tokenizer gets whole texts.
     """
 
-    def __init__(self, path: str, most_words: int = CACHED_WORDS):
-        self.path, self.most, self.known = path, most_words, {}
-
-    def _learn(self, words: set[bytes]) -> None:
-        known, tokenize, other = self.known, _model(self.path).tokenize, []
-        for word in words:
-            low = word.lower()
-            sign = b""
-            if low[-1] in b".,;:!?" and len(low) > 1 and 97 <= low[-2] <= 122:
-                low, sign = low[:-1], low[-1:]
-            letters = low.isalpha()  # ASCII letters, as bytes go
-            if not letters and not _PLAIN.fullmatch(low.decode("utf-8", "replace")):
-                other.append(word)
-                continue
-            ids = known.get(low)
-            if ids is None:
-                text = low.decode() if letters else "".join([_BYTE_LETTERS[byte] for byte in low])
-                ids = known[low] = array("I", [token.id for token in tokenize(text)]).tobytes()
-            if sign:
-                if sign not in known:
-                    known[sign] = array("I", _tokenizer(self.path).encode(sign.decode(), add_special_tokens=False).ids).tobytes()
-                known[word] = ids + known[sign]
-            elif word != low:
-                known[word] = ids
+    def __init__(self, path: str, most_words: int = CACHED_WORDS, end_id: int = END_ID):
+        self.path, self.end = path, array("I", [end_id]).tobytes()
+        self.stream = CutStream(most_words) if splits_words(path) else None
+
+    @staticmethod
+    def _edges(points: np.ndarray) -> np.ndarray:
+        kinds = _KINDS[points]
+        return _CUT[kinds[:-1], kinds[1:]]
+
+    @staticmethod
+    def _prepare(points: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Lower-case the cuts that hold nothing but ASCII letters; all others with a capital letter keep it."""
+        capital = np.flatnonzero(_CAPITAL[points])
+        if not len(capital):
+            return points
+        of = np.searchsorted(starts, capital, side="right") - 1
+        others = np.concatenate([[0], np.cumsum(_KINDS[points] != LETTER)])
+        out = points.copy()
+        out[capital[others[ends[of]] == others[starts[of]]]] += 32
+        return out
+
+    @staticmethod
+    def _skip(first: np.ndarray) -> np.ndarray:
+        return _KINDS[first] == WHITE
+
+    def _learn(self, cuts: list[str]) -> list[bytes]:
+        out: list[bytes] = [b""] * len(cuts)
+        tokenize, other = _model(self.path).tokenize, []
+        for at, cut in enumerate(cuts):
+            if cut == BREAK:
+                out[at] = self.end
+            else:
+                low = cut.lower() if cut.isascii() and cut.isalpha() else cut
+                if _PLAIN.fullmatch(low):
+                    text = low if low.isascii() else "".join([_BYTE_LETTERS[byte] for byte in low.encode()])
+                    out[at] = array("I", [token.id for token in tokenize(text)]).tobytes()
+                else:
+                    other.append(at)
         for at in range(0, len(other), 1 << 14):
             part = other[at : at + (1 << 14)]
-            found = _tokenizer(self.path).encode_batch_fast([word.decode("utf-8", "replace") for word in part], add_special_tokens=False)
-            known.update((word, array("I", code.ids).tobytes()) for word, code in zip(part, found))
+            for place, code in zip(part, self._whole([cuts[k] for k in part])):
+                out[place] = code
+        return out
+
+    def _whole(self, texts: list[str]) -> list[bytes]:
+        return [array("I", code.ids).tobytes() for code in _tokenizer(self.path).encode_batch_fast(texts, add_special_tokens=False)]
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
-        split = [text.encode("utf-8", "surrogatepass").split() if text else [] for text in texts]
-        known = self.known
-        seen = set(chain.from_iterable(split))
-        new = seen.difference(known)
-        if len(known) + len(new) > self.most:
-            self.known = known = {}
-            new = seen
-        if new:
-            self._learn(new)
-        return [np.frombuffer(b"".join(map(known.__getitem__, words)), np.uint32) for words in split]
+        return [row[:-1] for row in self.closed(texts)]
+
+    def closed(self, texts: list[str | None]) -> list[np.ndarray]:
+        """Ids of each text with the end id after them."""
+        texts = [text or "" for text in texts]
+        if self.stream is None:
+            return [np.frombuffer(row + self.end, np.uint32) for row in self._whole(texts)]
+        ids, breaks = self.stream.encode("".join([text + BREAK for text in texts]), self._edges, self._learn, self._prepare, self._skip)
+        edges = [0, *(breaks + 1).tolist()]
+        return [ids[a:b] for a, b in zip(edges, edges[1:])]
 
 
 @lru_cache(maxsize=1)
-def _word_ids(path: str) -> WordIds:
+def _word_ids(path: str, end_id: int) -> WordIds:
     """One for all tasks that a Python worker runs."""
-    return WordIds(path)
+    return WordIds(path, end_id=end_id)
 
 
 def packed(ids: np.ndarray) -> bytes:
@@ -135,12 +192,10 @@ def tokenised(documents: DataFrame, path: str, doc_id: str = "doc_id", text: str
     kind = documents.schema[doc_id].dataType.simpleString()
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, end = _word_ids(path), np.array([end_id], np.uint32)
-        for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
-                ids = [packed(np.concatenate([row, end])) for row in words.encode(part.column(1).to_pylist())]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.binary())], names=["id", "ids"])
+        words = _word_ids(path, end_id)
+        for part in shards(batches, "text", BATCH_BYTES):
+            ids = [packed(row) for row in words.closed(part.column(1).to_pylist())]
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.binary())], names=["id", "ids"])
 
     return documents.select(F.col(doc_id).alias("id"), F.col(text).alias("text")).mapInArrow(scan, f"id {kind}, ids binary")
 

@@ -9,9 +9,10 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
-from debutline.llm import incremental_means, manifest, piece_codec
+from debutline.llm import cuts, incremental_means, manifest, piece_codec, token_file
 from debutline.llm.queries import tokenizer_path
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 MODEL = "piece_bpe_32k.model"
 
@@ -34,7 +35,7 @@ def by_library(texts):
 
 @pytest.mark.parametrize("window", [7, 1 << 20])
 def test_codec_equals_the_library(monkeypatch, window):
-    monkeypatch.setattr(piece_codec, "WINDOW", window)
+    monkeypatch.setattr(cuts, "WINDOW", window)
     texts = some_texts(1500)
     codec = piece_codec.PieceCodec(tokenizer_path(MODEL))
     rows = codec.encode(texts)
@@ -49,9 +50,9 @@ def test_codec_forgets_and_starts_again():
 
 
 def test_cuts_with_one_hash_are_told_apart(monkeypatch):
-    found = piece_codec.Cuts.hashes
+    found = cuts.Cuts.hashes
     # as if all first hashes of the first factors were equal
-    monkeypatch.setattr(piece_codec.Cuts, "hashes", lambda self, *a: (found(self, *a)[0] * np.uint64(self.factors[0] != piece_codec.FACTORS[0]), found(self, *a)[1]))
+    monkeypatch.setattr(cuts.Cuts, "hashes", lambda self, *a: (found(self, *a)[0] * np.uint64(self.factor != cuts.FACTORS[0]) + np.uint64(self.factor == cuts.FACTORS[0]), found(self, *a)[1]))
     texts = some_texts(50, 3)
     assert piece_codec.PieceCodec(tokenizer_path(MODEL)).encode(texts) == by_library(texts)[0]
 
@@ -84,6 +85,21 @@ def test_piece_round_trip_of_rows(spark):
         piece_codec.round_trip(given.withColumn("_n_tokens", F.lit(1)), tokenizer_path(MODEL))
 
 
+# --- word ids -------------------------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("file, apart", [("word_bpe_49k.json", True), ("byte_bpe_50k.json", False)])
+def test_ids_of_both_public_tokenizers(file, apart):
+    path = tokenizer_path(file)
+    rng = random.Random(6)
+    letters = "abcdeABSTst  '' .,|<>!-_0123\n\té\u0301\u030cJΣσß中İ  x"
+    bits = ["don't", "I'LL", "<|endoftext|>", "<|ENDOFTEXT|>", "'s", "it.'s", "<|startoftext|>", "1\u0301", "J\u030c", "\x1c", "\x85", "||", "12'3"]
+    texts = ["", " "] + ["".join(rng.choice(letters) if rng.random() < 0.85 else rng.choice(bits) for _ in range(rng.randint(1, 40))) for _ in range(4000)]
+    want = Tokenizer.from_file(path).encode_batch(texts, add_special_tokens=False)
+    assert token_file.splits_words(path) == apart
+    assert [ids.tolist() for ids in token_file.WordIds(path).closed(texts)] == [[*code.ids, 1] for code in want]
+
+
 # --- manifest -------------------------------------------------------------------------------------
 
 
