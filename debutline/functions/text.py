@@ -53,7 +53,7 @@ def null_zero(number: ColumnLike) -> Column:
 
 def clean_cell(text: ColumnLike) -> Column:
     """Trim a table cell and drop currency signs and thousands commas; the rupee sign stays."""
-    trimmed = F.regexp_replace(col(text), r"^\s+|\s+$", "")
+    trimmed = F.btrim(col(text), F.lit(" \t\n\x0b\f\r"))
     return F.regexp_replace(trimmed, CELL_SYMBOLS_PATTERN, "")
 
 

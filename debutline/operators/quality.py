@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -57,6 +59,19 @@ def route_splits(splits: Mapping[str, DataFrame], passed: bool, path: str) -> st
     return folder
 
 
-def counted(df: DataFrame, name: str, total: Column | None = None) -> DataFrame:
-    """Count rows as they pass; the number is read from the query's observed metrics, without a second job."""
-    return df.observe(name, (total if total is not None else F.count(F.lit(1))).alias("rows"))
+@dataclass(frozen=True)
+class Counted:
+    """Rows that are counted as they pass; `rows` waits until a job has read all of `frame` and needs no job of its own."""
+
+    frame: DataFrame
+    observation: Observation
+
+    @property
+    def rows(self):
+        return self.observation.get["rows"]
+
+
+def counted(df: DataFrame, name: str, total: Column | None = None) -> Counted:
+    """Count rows as they pass, or take another aggregate of them."""
+    observation = Observation(f"{name}-{uuid.uuid4().hex}")
+    return Counted(df.observe(observation, (total if total is not None else F.count(F.lit(1))).alias("rows")), observation)

@@ -6,7 +6,7 @@ from collections.abc import Mapping
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from debutline.functions import dates, text
@@ -18,7 +18,6 @@ from debutline.operators.project import conform, drop_value, existing, rename
 from debutline.operators.reshape import (
     columns_from_trimmed,
     fits_columns,
-    gather_pairs,
     squeeze_subscriptions,
     subscription_columns,
     trim_zeros,
@@ -30,7 +29,7 @@ from debutline.sources.markup import (
     listed_companies,
     parse_pages,
     pick_links,
-    price_rows,
+    price_series,
     profile_fields,
     review_rows,
     split_errors,
@@ -117,14 +116,11 @@ def offer_subscriptions(parsed: DataFrame) -> DataFrame:
 
 def offer_prices(parsed: DataFrame) -> DataFrame:
     """Grey-market prices of all days as one series in date order, one row per price page."""
-    rows = price_rows(parsed).select(
-        "grmkpt_url",
-        "day",
-        dates.parse_date("date_text", [dates.PRICE_DAY_FORMAT]).alias("date"),
-        text.rupees("price_text").alias("price"),
-    )
-    series = gather_pairs(rows, ["grmkpt_url"], "day", "date", "price", SERIES)
-    return series.withColumn(SERIES, sort_pairs(SERIES))
+
+    def read(date: Column, price: Column) -> Column:
+        return F.struct(dates.parse_date(date, [dates.PRICE_DAY_FORMAT]).alias("date"), text.rupees(price).alias("price"))
+
+    return price_series(parsed, read).select("grmkpt_url", sort_pairs("series").alias(SERIES))
 
 
 def _attach_once(df: DataFrame, details: DataFrame, link: str, detail_link: str) -> DataFrame:

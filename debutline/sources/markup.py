@@ -8,7 +8,7 @@ they are exploded.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from html import unescape
 
 import pandas as pd
@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from debutline.functions.common import ColumnLike, col
+from debutline.functions.common import ColumnLike, col, let
 from debutline.functions.text import clean_cell, clean_name, link_symbol, query_symbol
 from debutline.schema import LINK_KINDS, TABLE_IDENTIFIERS
 
@@ -434,10 +434,38 @@ def unreadable_days(parsed: DataFrame, url: str = "url") -> DataFrame:
     return odd.groupBy(url).agg(F.concat(F.lit("day label: "), F.min("_label")).alias("error"))
 
 
+def price_series(parsed: DataFrame, read: Callable[[Column, Column], Column], url: str = "url", metric: str = "GMP") -> DataFrame:
+    """Grey-market tables as one array per page: `read(date text, price text)` of every row, in the order of the rows.
+
+    A page's later tables overwrite the same rows of earlier ones. All of it happens in the row; pages are shuffled as short arrays, for those landed twice.
+    """
+    headers, text = lambda table: table["headers"], lambda row, at: clean_cell(F.try_element_at(row, F.nullif(at, F.lit(0))))
+
+    def entries(table: Column) -> Column:
+        price, date = (F.array_position(headers(table), F.lit(name)).cast("int") for name in (metric, "GMP Date"))
+
+        def one(row: Column) -> Column:
+            dated = F.nullif(F.regexp_extract(text(row, date), PRICE_DAY_PATTERN, 1), F.lit(""))
+            return F.struct(dated.alias("date"), text(row, price).alias("price"))
+
+        return F.when(price > 0, F.transform(table["rows"], one)).otherwise(F.filter(F.transform(table["rows"], one), lambda _: F.lit(False)))
+
+    def rows_of(tables: Column) -> Column:
+        """Row by row, what the last table with that row says; the tables are bound once, as every row looks at them."""
+        longest = F.array_max(F.transform(tables, F.size))
+
+        def last(at: Column) -> Column:
+            row = F.element_at(F.element_at(F.filter(tables, lambda table: F.size(table) >= at), -1), at)
+            return read(row["date"], row["price"])
+
+        return F.when(longest > 0, F.transform(F.sequence(F.lit(1), longest), last))
+
+    series = parsed.select(F.col(url).alias("grmkpt_url"), let(F.transform(chosen_tables("tables", "grmkpt"), entries), rows_of).alias("_series"))
+    return series.filter(F.col("_series").isNotNull()).groupBy("grmkpt_url").agg(F.max("_series").alias("series"))
+
+
 def price_rows(parsed: DataFrame, url: str = "url", metric: str = "GMP") -> DataFrame:
     """Grey-market tables in long form: url, day number (place of the row), date text, price text."""
-    cells = _cells(parsed, "grmkpt", url).filter(F.col("header") == metric)
-    dated = cells.withColumn("_date", F.nullif(F.regexp_extract(_under("GMP Date"), PRICE_DAY_PATTERN, 1), F.lit("")))
-    return dated.groupBy(F.col(url).alias("grmkpt_url"), (F.col("row_no") + 1).alias("day")).agg(
-        F.max_by(F.struct("_date", "text"), F.col("table_no")).alias("_last")
-    ).select("grmkpt_url", "day", F.col("_last._date").alias("date_text"), F.col("_last.text").alias("price_text"))
+    held = price_series(parsed, lambda date, price: F.struct(date.alias("date_text"), price.alias("price_text")), url, metric)
+    rows = held.select("grmkpt_url", F.posexplode("series").alias("_at", "_row"))
+    return rows.select("grmkpt_url", (F.col("_at") + 1).alias("day"), "_row.date_text", "_row.price_text")

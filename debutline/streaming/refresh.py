@@ -28,14 +28,16 @@ def refresh_stream(
 ) -> StreamingQuery:
     """Merge every file that has landed since the last run, then stop.
 
-    A batch that is run again after a failure merges the same rows once more, which changes nothing.
+    The store is the keyed state of the stream: a batch reads and writes the buckets of its own keys. The store also keeps a ledger of merged batches, so one that
+    is run again after a failure is left out, and with `order_by` the order values of each row, so rows that land late never undo newer ones.
     """
     reader = spark.readStream.format(file_format).schema(schema)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
 
-    def merge(batch: DataFrame, _: int) -> None:
-        store.upsert(prepare(batch) if prepare else batch, order_by, keep_order_columns)
+    def merge(batch: DataFrame, number: int) -> None:
+        rows = prepare(batch) if prepare else batch
+        store.upsert(rows, order_by, keep_order_columns, newest=order_by is not None, batch=f"{checkpoint}#{number}")
 
     return (
         reader.load(landing)

@@ -11,9 +11,9 @@ Case = tuple[Query, str | None]
 
 
 def all_cases() -> dict[str, Case]:
-    from debutline.workload import learning, pages, relations, scalars, series, storage
+    from debutline.workload import jobs, learning, pages, relations, scalars, series, storage
 
     cases: dict[str, Case] = {}
-    for module in (scalars, relations, series, pages, learning, storage):
+    for module in (scalars, relations, series, pages, learning, storage, jobs):
         cases.update(module.CASES)
     return cases

@@ -17,6 +17,7 @@ from debutline.operators.knn import KnnClassifier, KnnModel
 from debutline.operators.nearest import BlockPlan, nearest
 from debutline.operators.power import PowerTransform, PowerTransformModel, fit_powers
 from debutline.operators.scores import best, leaderboard, macro_scores
+from debutline.operators.ranks import first_by_rank, rank_index
 from debutline.operators.split import fold_rows, split_rows
 
 FEW = settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
@@ -197,14 +198,46 @@ def test_drift_report(spark):
 
 def test_split_is_exact_and_stable(spark):
     df = spark.createDataFrame([(at, f"c{at % 7 % 3}") for at in range(1003)], "id int, label string").repartition(5)
-    first = split_rows(df, ["id"], "label", buckets=16)
+    first = split_rows(df, ["id"], "label")
     parts = {row["split"]: row["count"] for row in first.groupBy("split").count().collect()}
     assert parts == {"train": 702, "vald": 150, "test": 151}
     shares = first.groupBy("label").agg((F.count_if(F.col("split") == "train") / F.count("*")).alias("s")).collect()
     assert all(abs(row["s"] - 0.7) < 0.005 for row in shares)
-    again = split_rows(df.repartition(3), ["id"], "label", buckets=64)
+    again = split_rows(df.repartition(3), ["id"], "label")
     assert first.filter("split = 'train'").count() == again.filter("split = 'train'").count()
-    assert rows(split_rows(df.coalesce(1), ["id"], "label", buckets=16), "id") == rows(first, "id")
+    assert rows(split_rows(df.coalesce(1), ["id"], "label"), "id") == rows(first, "id")
+
+
+def test_split_of_many_classes_and_a_hot_one(spark):
+    # thousands of classes, null among them, and one with a third of all rows
+    df = spark.range(6000).select("id", F.when(F.col("id") % 3 == 0, -1).when(F.col("id") % 1000 == 1, None).otherwise(F.floor(F.col("id") / 2)).cast("int").alias("label"))
+    parts = split_rows(df, ["id"], "label")
+    sizes = {row["split"]: row["count"] for row in parts.groupBy("split").count().collect()}
+    assert sizes == {"train": 4200, "vald": 900, "test": 900} and parts.columns == ["id", "label", "split"]
+    by_class = parts.groupBy("label").agg(F.count("*").alias("n"), F.count_if(F.col("split") == "train").alias("k")).collect()
+    assert all(0.7 * row["n"] - 1 < row["k"] < 0.7 * row["n"] + 1 for row in by_class)
+
+
+def test_cuts_are_the_last_wanted_ranks(spark):
+    df = spark.range(5000).select("id", (F.col("id") % 3).alias("g"))
+    rank = F.struct(F.xxhash64("id").alias("h"), F.col("id").alias("k0"))
+    wanted = spark.createDataFrame([(0, 1), (1, 700), (2, 0)], "g long, wanted long")
+    got = {row["g"]: tuple(row["cut"]) for row in first_by_rank(df, "g", rank, wanted).collect()}
+    held = {g: sorted(tuple(row["r"]) for row in df.filter(F.col("g") == g).select(rank.alias("r")).collect()) for g in (0, 1)}
+    assert got == {0: held[0][0], 1: held[1][699]}
+
+
+def test_pages_read_the_ranges_that_hold_them(spark):
+    df = spark.range(1000).select("id", (F.col("id") * 7 % 13).alias("v"), F.lit("x").alias("w")).repartition(5)
+    order = [F.col("v").desc(), F.col("id")]
+    index = rank_index(df, order, ranges=6)
+    want = [tuple(row) for row in df.orderBy(*order).collect()]
+    for number, size in ((1, 20), (3, 20), (50, 20), (51, 20), (2, 400)):
+        found = index.page(number, size)
+        assert [tuple(row) for row in found.collect()] == want[(number - 1) * size : number * size] and found.columns == df.columns
+    plan = index.page(3, 20)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "TakeOrdered" not in plan and len(index.before) > 1
+    assert rank_index(df.limit(0), order).page(1, 20).count() == 0
 
 
 def test_folds_hold_each_class(spark):
