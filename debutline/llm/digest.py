@@ -22,6 +22,8 @@ HEADER = 2
 MOST_HEADER = 32
 MOST_BUCKETS = 4 * BUCKETS
 _SHARD_CHARS = 1 << 19
+# of text in one block of neighbours
+BLOCK_BYTES = 32 << 20
 
 _rng = np.random.default_rng(128)
 _TABLES = [_rng.permutation(256).astype(np.uint8) for _ in range(9)]
@@ -116,8 +118,12 @@ def with_next(documents: DataFrame, doc_id: str = "doc_id", text: str = "text",
     is one id per block.
     """
     spark = documents.sparkSession
-    parts = parts or 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     kind = documents.schema[doc_id].dataType.simpleString()
+    if kind not in ("tinyint", "smallint", "int", "bigint"):
+        raise ValueError(f"{doc_id} is {kind}; the order of documents goes by whole numbers")
+    if parts is None:
+        size = documents.agg(F.sum(F.octet_length(text))).first()[0] or 0
+        parts = max(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // BLOCK_BYTES))
     rows = documents.select(F.col(doc_id).alias("id"), F.xxhash64(text).alias("mark"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     order = [F.col("id").desc_nulls_last(), F.col("mark").asc()]
     cuts = _cuts(rows.select("id", "mark"), order, parts)
@@ -185,6 +191,6 @@ def with_next(documents: DataFrame, doc_id: str = "doc_id", text: str = "text",
     names = ["id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
     dealt = rows.mapInArrow(deal, f"block long, tail boolean, id {kind}, mark long, text string")
     # rows of a block with the same id and text may both open it; only the first tail row is read
-    together = dealt.repartition("block").sortWithinPartitions("block", "tail", *order)
+    together = dealt.repartition(parts, "block").sortWithinPartitions("block", "tail", *order)
     schema = f"id {kind}, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
     return together.mapInArrow(pairs, schema).withColumnRenamed("id", doc_id)

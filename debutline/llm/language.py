@@ -26,8 +26,11 @@ UNDETERMINED = "und"
 PIECE = 2048
 TRAIN_ROWS = 12_000
 LANDMARKS = 384
+SAMPLE_TASKS = 8
 RIDGE = 1e-3
 SHARPNESS = 6.0
+# of four languages a guess scores 0.25; texts in one language score 0.9 and more, mixed ones about 0.5
+LEAST_SCORE = 0.3
 SIZES = (256, 8192, 16384, 16384)
 STARTS = np.concatenate([[0], np.cumsum(SIZES)])
 WIDTH = int(STARTS[-1])
@@ -122,8 +125,9 @@ def fit(labelled: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: s
         return Model([], np.zeros((WIDTH, 0), np.float32), np.zeros(0, np.float32))
     share = max(1, train_rows // len(languages))
     every = F.create_map(*[F.lit(x) for name, n in counts for x in (name, max(1, n // share))])
-    chosen = known.where(F.pmod("key", F.element_at(every, F.col("lang"))) == 0).select("text", "lang")
-    chosen = cut_lineage(chosen.repartition(8, F.xxhash64("text")), "language-sample")
+    chosen = known.where(F.pmod("key", F.element_at(every, F.col("lang"))) == 0)
+    # dealt by the id too, as many documents may have one text
+    chosen = cut_lineage(chosen.repartition(SAMPLE_TASKS, "key", F.xxhash64("text")).select("text", "lang"), "language-sample")
 
     def first_pieces(batches):
         for batch in batches:
@@ -190,6 +194,11 @@ def with_letters(documents: DataFrame, text: str = "text") -> DataFrame:
     return documents.mapInArrow(scan, documents.schema)
 
 
+def determined(lang: str = "_lang", score: str = "_score", least: float = LEAST_SCORE) -> Column:
+    """Does one of the learned languages stand out? A score near that of a guess says that none does."""
+    return (F.col(lang) != UNDETERMINED) & (F.col(score) >= least)
+
+
 def predict(documents: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """`documents` with `_lang` and `_score` (0 to 1) added; null texts and texts without a letter are `und` with score 0.
 

@@ -124,12 +124,15 @@ def _walk(land: bool, number: int, columns: list[str]):
 
 def drawn(units: DataFrame, targets: DataFrame, block_units: int = BLOCK_UNITS, spread: int = SPREAD) -> DataFrame:
     """`units` (key, source, size, ...) with source_size, target and `repeats`, how often the mix takes the unit."""
+    # units alike in every way are told apart by a number, without being brought together
+    alike = units.groupBy(*[f"`{name}`" for name in units.columns]).agg(F.count(F.lit(1)).alias("_alike"))
+    units = alike.withColumn("_number", F.explode(F.sequence(F.lit(1), F.col("_alike").cast("int")))).drop("_alike")
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     joined = units.join(targets.withColumnRenamed("source", "_name"), F.col("source").eqNullSafe(F.col("_name"))).drop("_name")
     state = (
         joined.withColumn("_whole", F.floor(rate).cast("int"))
         .withColumn("_share", rate - F.floor(rate))
-        .withColumn("_mark", F.xxhash64("key", "size"))
+        .withColumn("_mark", F.when(F.col("_number") == 1, F.xxhash64("key", "size")).otherwise(F.xxhash64("key", "size", "_number")))
         .withColumn("_block", F.pmod("_mark", F.ceil(F.col("units") / block_units)))
     )
     most = targets.agg(F.max("units")).first()[0] or 0
@@ -148,7 +151,7 @@ def drawn(units: DataFrame, targets: DataFrame, block_units: int = BLOCK_UNITS,
     out = parts[0]
     for part in parts[1:]:
         out = out.unionAll(part)
-    extra = [name for name in units.columns if name not in ("key", "source", "size")]
+    extra = [name for name in units.columns if name not in ("key", "source", "size", "_number")]
     return out.select("key", *extra, "size", "source_size", "target", (F.col("_whole") + F.col("_share").cast("int")).alias("repeats"))
 
 

@@ -78,22 +78,28 @@ def picked(documents: DataFrame, chosen: DataFrame, text: str, keys: list[str])
     """The rows of `documents` that `chosen` names, each `_times` times.
 
     `chosen` has a row per (keys, `_hash`), with `_hash` the xxhash64 of the text, and `_rows`, how many rows of `documents` that is. Repeated rows
-    (alike in keys and text) are one row, taken `_times` times; only those are brought together. Texts are shuffled once, and no copy
-    of the documents is written.
+    (alike in keys and text) are one row, that of the least hash of all its columns, taken `_times` times; only those are brought together. Texts are shuffled
+    once, and no copy of the documents is written. Columns of `documents` may have any names: they travel under others.
     """
-    names = [f"`{name}`" for name in documents.columns]
-    chosen = chosen.select(*[F.col(key).alias(f"_key_{at}") for at, key in enumerate(keys)], F.col("_hash").alias("_of"), "_times", "_rows")
-    hashed = documents.withColumn("_hash", F.xxhash64(text))
+    columns = documents.columns
+    plain = documents.select(*[F.col(f"`{name}`").alias(f"_c{at}") for at, name in enumerate(columns)])
+    held_as = {name: f"_c{at}" for at, name in enumerate(columns)}
+    chosen = chosen.select(*[F.col(f"`{key}`").alias(f"_key_{at}") for at, key in enumerate(keys)], F.col("_hash").alias("_of"), "_times", "_rows")
+    hashed = plain.withColumn("_hash", F.xxhash64(held_as[text]))
     on = F.col("_hash") == F.col("_of")
     for at, key in enumerate(keys):
-        on = on & F.col(f"`{key}`").eqNullSafe(F.col(f"_key_{at}"))
+        on = on & F.col(held_as[key]).eqNullSafe(F.col(f"_key_{at}"))
     # the choice grows with the documents, so the plan is the same at every size: both sides dealt by their keys
     held = hashed.join(chosen.hint("merge"), on)
+    names = list(held_as.values())
     out = held.where("_rows = 1").select(*names, "_times")
     if not chosen.where("_rows > 1").isEmpty():
-        again = held.where("_rows > 1").dropDuplicates([*(f"_key_{at}" for at in range(len(keys))), "_of"])
-        out = out.unionAll(again.select(*names, "_times"))
-    return out.select(*names, F.explode(F.sequence(F.lit(1), F.col("_times").cast("int"))).alias("_copy")).drop("_copy")
+        whole = F.struct(*names)
+        least = F.min_by(F.struct(*names, "_times"), F.xxhash64(whole))
+        again = held.where("_rows > 1").groupBy(*(f"_key_{at}" for at in range(len(keys))), "_of").agg(least.alias("_row"))
+        out = out.unionAll(again.select("_row.*"))
+    taken = out.select(*names, F.explode(F.sequence(F.lit(1), F.col("_times").cast("int"))).alias("_copy"))
+    return taken.select(*[F.col(name).alias(given) for given, name in held_as.items()])
 
 
 def discard(spark: SparkSession, path: str) -> None:

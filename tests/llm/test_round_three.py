@@ -9,8 +9,9 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
-from debutline.llm import cuts, incremental_means, manifest, piece_codec, token_file
+from debutline.llm import cuts, digest, incremental_means, manifest, mix, piece_codec, token_file
 from debutline.llm.queries import tokenizer_path
+from debutline.llm.shared import picked
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -236,3 +237,93 @@ def test_mended_products_equal_fresh_ones():
         incremental_means.mend(dots, vectors, after - before)
         want = [[sum(int(a) * int(b) for a, b in zip(v, c)) for c in after] for v in vectors]
         assert dots.tolist() == want
+
+
+# --- helpers of earlier operators -----------------------------------------------------------------
+
+
+def test_picked_rows_keep_columns_of_any_name(spark):
+    rows = [(1, "a", 7, "x", 5), (1, "a", 8, "y", 5), (2, "b", 9, "z", 6), (3, None, 1, "w", 6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _hash long, _times string, _row int").repartition(3)
+    chosen = docs.groupBy("doc_id", F.xxhash64("text").alias("_hash")).agg(F.count("*").alias("_rows")).withColumn("_times", F.when(F.col("doc_id") == 1, 2).otherwise(1))
+    got = sorted(tuple(r) for r in picked(docs, chosen, "text", ["doc_id"]).collect())
+    again = sorted(tuple(r) for r in picked(docs.repartition(1), chosen, "text", ["doc_id"]).collect())
+    # of rows alike in id and text one is taken, the same on every run, as often as it is asked for
+    assert got == again and got[0] == got[1] and got[0] in rows[:2] and got[2:] == rows[2:]
+
+
+def test_mix_of_alike_rows_is_cut_into_blocks(spark):
+    rows = [(None, "s", "one two three")] * 10_000 + [(k, "t", "word " * (1 + k % 7)) for k in range(500)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string").repartition(5)
+    units = mix.drawn(
+        docs.select(F.col("doc_id").alias("key"), "source", mix.word_count("text").alias("size")),
+        mix.source_targets(docs.select("source", mix.word_count("text").alias("size"))), block_units=500,
+    )
+    assert units.count() == len(rows)
+    got = {r["target"]: r["taken"] for r in mix.mix(docs, block_units=500).groupBy("source_size", "target").agg(F.sum("taken").alias("taken")).collect()}
+    assert all(abs(taken - target) <= 6 for target, taken in got.items())
+    assert sorted(map(tuple, mix.mix(docs, block_units=500).collect()), key=str) == sorted(map(tuple, mix.mix(docs.repartition(2), block_units=500).collect()), key=str)
+
+
+def test_text_ids_are_refused_by_name(spark):
+    with pytest.raises(ValueError, match="whole numbers"):
+        digest.with_next(spark.createDataFrame([("a", "b")], "doc_id string, text string"))
+
+
+# --- plain versions of earlier operators ----------------------------------------------------------
+
+
+def digest_by_hand(data):
+    counts = [0] * digest.BUCKETS
+    for number, places in enumerate(((0, 1, 2), (0, 1, 3), (0, 2, 3))):
+        for at in range(len(data) - places[2]):
+            mixed = 0
+            for k, place in enumerate(places):
+                mixed ^= int(digest._TABLES[3 * number + k][data[at + place]])
+            counts[mixed % 128] += 1
+    ranked = sorted(counts)
+    q1, q2, q3 = ranked[31], ranked[63], ranked[95]
+    ratio = lambda q: min(q * 15 // max(q3, 1), 15)
+    out = [min(round(math.log2(len(data) + 1) * 8), 255), ratio(q1) * 16 + ratio(q2)]
+    for at in range(0, 128, 4):
+        byte = 0
+        for c in counts[at : at + 4]:
+            byte = byte * 4 + (c > q1) + (c > q2) + (c > q3)
+        out.append(byte)
+    return bytes(out)
+
+
+def likeness_by_hand(a, b):
+    score = min(abs(a[0] - b[0]), 16) + min(abs((a[1] >> 4) - (b[1] >> 4)) + abs((a[1] & 15) - (b[1] & 15)), 16)
+    for one, other in zip(a[2:], b[2:]):
+        for shift in (0, 2, 4, 6):
+            score += (0, 1, 2, 4)[abs((one >> shift & 3) - (other >> shift & 3))]
+    return 1 - score / (32 + 4 * 128)
+
+
+def test_digests_and_likeness_by_hand():
+    rng = random.Random(7)
+    texts = [bytes(rng.randrange(256) for _ in range(rng.choice([0, 1, 2, 3, 4, 50, 900]))) for _ in range(40)] + [b"word " * 300, b"\xff" * 70]
+    rows = digest.digests(texts)
+    assert [row.tobytes() for row in rows] == [digest_by_hand(text) for text in texts]
+    pairs = [(rng.randrange(len(texts)), rng.randrange(len(texts))) for _ in range(200)]
+    got = digest.likeness(rows[[a for a, _ in pairs]], rows[[b for _, b in pairs]])
+    assert np.allclose(got, [likeness_by_hand(rows[a].tolist(), rows[b].tolist()) for a, b in pairs])
+
+
+def test_next_documents_with_repeated_ids_by_hand(spark):
+    rows = [(5, "five five five"), (5, "five five five"), (4, "four"), (4, None), (-3, ""), (None, "no id at all"), (2**40, "ab" * 40)]
+    got = digest.with_next(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), parts=4).collect()
+    texts = {name: [t or "" for n, t in rows if n == name] for name, _ in rows}
+    assert sorted(str(r["doc_id"]) for r in got) == sorted(str(n) for n, _ in rows)
+    # the order of equal ids is that of a hash, so either neighbour may follow
+    after = {2**40: texts[5], 5: texts[5] + texts[4], 4: texts[4] + texts[-3], -3: texts[None], None: texts[2**40]}
+    for r in got:
+        ways = set()
+        for own in texts[r["doc_id"]]:
+            for following in after[r["doc_id"]]:
+                cut = len(own) // 3
+                edited = own[: len(own) - cut] + following[:cut]
+                a, b, c = (digest_by_hand(t.encode()) for t in (own, edited, following))
+                ways.add((len(own), hashlib.sha256(edited.encode()).hexdigest(), a.hex(), b.hex(), round(likeness_by_hand(a, b), 9), round(likeness_by_hand(a, c), 9)))
+        assert (r["n_chars"], r["edited_sha256"], r["fingerprint"], r["edited_fingerprint"], round(r["near_edited"], 9), round(r["near_next"], 9)) in ways

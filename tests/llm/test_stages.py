@@ -5,6 +5,7 @@ from collections import Counter
 
 import corpus_pipeline
 import pytest
+from debutline.llm import language
 from pyspark.sql import functions as F
 from test_methods import groups_by_hand, windows_by_hand
 
@@ -19,6 +20,18 @@ def test_language_stage_keeps_what_has_a_letter(spark, labelled):
     assert sorted(((r["doc_id"], r["text"]) for r in got.collect()), key=str) == sorted([ROWS[k] for k in (0, 4, 5, 6)], key=str)
 
 
+def test_language_stage_goes_by_the_kernel(spark, monkeypatch):
+    words = {"en": "the cat and the dog are here with them", "fr": "le chat et le chien sont ici avec eux", "de": "die Katze und der Hund sind hier mit ihnen", "es": "el gato y el perro estan aqui con ellos"}
+    rows = [(k, f"{words[lang]} {words[lang]} {k}", lang) for k, lang in enumerate(list(words) * 30)] + [(500, "zq xj qqx jzx wqz xxj zqj", None), (501, "le chat et le chien", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    scores = {r["doc_id"]: r["_score"] for r in language.predict(docs, language.fit(docs.where(language.learnable("doc_id")))).collect()}
+    kept = {r["doc_id"] for r in corpus_pipeline.in_known_languages(spark, docs, "").collect()}
+    assert kept == {name for name, score in scores.items() if score >= language.LEAST_SCORE} and {*range(120), 501} <= kept
+    monkeypatch.setattr(language.determined, "__defaults__", ("_lang", "_score", 0.999))
+    strict = {r["doc_id"] for r in corpus_pipeline.in_known_languages(spark, docs, "").collect()}
+    assert strict == {name for name, score in scores.items() if score >= 0.999} and strict < kept
+
+
 def counts(df):
     return Counter(r["doc_id"] for r in df.select("doc_id").collect())
 
