@@ -15,14 +15,14 @@ from debutline.llm.token_file import token_table
 
 
 def in_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a language: null texts and texts without any letter go, whatever else is in them.
+    """Documents with a language: those in which the kernel classifier finds none that stands out go, and so do null texts and texts without any letter.
 
     Without any label no language is learned; the rule of letters holds all the same.
     """
     model = language.fit(docs.where(language.learnable("doc_id")))
     if not model.languages:
         return language.with_letters(docs)
-    return language.predict(docs, model).where(F.col("_lang") != language.UNDETERMINED).drop("_lang", "_score")
+    return language.predict(docs, model).where(language.determined("_lang", "_score")).drop("_lang", "_score")
 
 
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
