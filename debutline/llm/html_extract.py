@@ -1,6 +1,6 @@
 """Main text of web pages: gradient-boosted trees over DOM nodes, and a decoding along the tree.
 
-A page is cut into a tree of elements. Each element that can hold text on its own becomes a row of features: text, tag and link
+A page is cut into a tree of elements; text that stands in a block beside other blocks is an element too. Each element that can hold text on its own becomes a row of features: text, tag and link
 densities of its subtree, depth, place among its siblings and shares of its parent, and hashed tokens of its tag, class, id and role and of
 those of its ancestors. Boosted trees give each row the log-odds of being the article or a way to it. The decoding takes the subtree
 with the highest sum in which whatever is kept has its ancestors kept, so no block survives inside a menu that was dropped.
@@ -26,10 +26,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 TRAIN_PAGES = 300
-VARIANTS = 3
+VARIANTS = 5
 TREES = 60
-DEPTH = 4
-RATE = 0.3
+DEPTH = 6
+RATE = 0.5
 BINS = 24
 HASHED = 96
 DOUBT = 1.0  # log-odds for keeping what only variants taught
@@ -62,6 +62,10 @@ ENDS = {
 ENDS = {tag: (frozenset(a.split()), frozenset(b.split())) for tag, (a, b) in ENDS.items()}
 # --- end of fixed values
 
+# the element around a run of text and line elements that stands directly in a block; training pages may write it out
+RUN = "x-run"
+INLINE = INLINE | {RUN}
+
 _MARKUP = re.compile(
     r"<!--.*?(?:-->|$)|<!\[CDATA\[(?P<cdata>.*?)(?:\]\]>|$)|<[!?][^>]*(?:>|$)|<(?P<close>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<rest>(?:[^>\"']|\"[^\"]*(?:\"|$)|'[^']*(?:'|$))*)(?:>|$)",
     re.S,
@@ -103,24 +107,37 @@ def parse(source: str) -> Page:
         return len(tags) - 1
 
     stack = [add("", -1, "")]
+    open_tags: dict[str, int] = {}
+
+    def push(node: int) -> None:
+        stack.append(node)
+        open_tags[tags[node]] = open_tags.get(tags[node], 0) + 1
 
     def pop_to(depth: int) -> None:
         while len(stack) > depth:
-            if tags[stack[-1]] not in INLINE:
+            tag = tags[stack[-1]]
+            if tag not in INLINE:
                 events.append((stack[-1], ""))
+            open_tags[tag] -= 1
             stack.pop()
 
+    def say(text: str) -> None:
+        """Text where the page stands now; in a block it opens a run."""
+        if tags[stack[-1]] not in INLINE and tags[stack[-1]] not in HIDDEN and not text.isspace():
+            push(add(RUN, stack[-1], ""))
+        events.append((stack[-1], text))
+
     at, size = 0, len(source)
     while at < size:
         found = _MARKUP.search(source, at)
         if found is None:
-            events.append((stack[-1], source[at:]))
+            say(source[at:])
             break
         if found.start() > at:
-            events.append((stack[-1], source[at : found.start()]))
+            say(source[at : found.start()])
         at = found.end()
         if found["cdata"]:
-            events.append((stack[-1], found["cdata"].replace("&", "&amp;")))
+            say(found["cdata"].replace("&", "&amp;"))
         tag = found["tag"]
         if tag is None:
             continue
@@ -128,7 +145,7 @@ def parse(source: str) -> Page:
         if found["close"]:
             if tag == "br":
                 events.append((stack[-1], " "))
-            for depth in range(len(stack) - 1, 0, -1):
+            for depth in range(len(stack) - 1, 0, -1) if open_tags.get(tag) else ():
                 if tags[stack[depth]] == tag:
                     pop_to(depth)
                     break
@@ -136,8 +153,10 @@ def parse(source: str) -> Page:
                 if tag in INLINE and tags[stack[depth]] not in INLINE:
                     break
             continue
+        if tag not in INLINE and tag not in VOID and tags[stack[-1]] == RUN:
+            pop_to(len(stack) - 1)
         if tag in ENDS_P:
-            for depth in range(len(stack) - 1, 0, -1):
+            for depth in range(len(stack) - 1, 0, -1) if open_tags.get("p") else ():
                 inner = tags[stack[depth]]
                 if inner == "p":
                     pop_to(depth)
@@ -148,7 +167,7 @@ def parse(source: str) -> Page:
                 pop_to(len(stack) - 1)
         elif tag in ENDS:
             ended, bounds = ENDS[tag]
-            for depth in range(len(stack) - 1, 0, -1):
+            for depth in range(len(stack) - 1, 0, -1) if any(open_tags.get(name) for name in ended) else ():
                 inner = tags[stack[depth]]
                 if inner in bounds:
                     break
@@ -158,10 +177,14 @@ def parse(source: str) -> Page:
                         break
         if tag == "br" or tag in VOID:
             if tag == "hr":
+                if tags[stack[-1]] == RUN:
+                    pop_to(len(stack) - 1)
                 events.append((stack[-1], ""))
             else:
                 events.append((stack[-1], " " if tag == "br" else "" if tag not in INLINE else NOTHING))
             continue
+        if tag in INLINE and tag != RUN and tag not in HIDDEN and tags[stack[-1]] not in INLINE:
+            push(add(RUN, stack[-1], ""))
         node = add(tag, stack[-1], found["rest"])
         if tag not in INLINE:
             events.append((node, ""))
@@ -173,7 +196,7 @@ def parse(source: str) -> Page:
             at = at or size
             continue
         if not (found["rest"] or "").endswith("/") or tag not in ("svg", "math", "path"):
-            stack.append(node)
+            push(node)
     return page
 
 
@@ -193,7 +216,7 @@ def hidden(page: Page) -> list[bool]:
 
 
 def features(page: Page) -> tuple[list[int], np.ndarray]:
-    """The elements that are rows (of other than a line, or with tokens of their own, and shown) and their features."""
+    """The elements that are rows and their features: shown ones that are blocks, have tokens of their own, or are runs of text beside blocks."""
     size = len(page.tag)
     gone = hidden(page)
     chars, links, tags, marks, paragraphs = [0] * size, [0] * size, [1] * size, [0] * size, [0] * size
@@ -219,7 +242,11 @@ def features(page: Page) -> tuple[list[int], np.ndarray]:
         marks[up] += marks[k]
         paragraphs[k] += page.tag[k] == "p"
         paragraphs[up] += paragraphs[k]
-    rows = [k for k in range(1, size) if not gone[k] and (page.tag[k] not in INLINE or page.tokens[k])]
+    beside = [False] * size
+    for k in range(1, size):
+        if page.tag[k] not in INLINE and page.tag[k] not in HIDDEN:
+            beside[page.parent[k]] = True
+    rows = [k for k in range(1, size) if not gone[k] and (page.tag[k] not in INLINE or page.tokens[k] or (page.tag[k] == RUN and beside[page.parent[k]]))]
     out = np.zeros((len(rows), WIDTH), np.float32)
     row_of = {k: r for r, k in enumerate(rows)}
     up_of, depth = [0] * size, [0] * size
@@ -411,12 +438,23 @@ def variant(source: str, rng: random.Random) -> str:
         return "".join(f"<p>{some(4, 60)}.</p>" for _ in range(n))
 
     def note() -> str:
-        return "".join(f"<div class='comment'><b>{some(1, 2)}</b><p>{some(3, 50)}.</p></div>" if rng.random() < 0.5 else f"<p>{some(3, 50)}.</p>" for _ in range(rng.randint(1, 6)))
+        ways = [
+            lambda: f"<div class='comment'><b>{some(1, 2)}</b><p>{some(3, 50)}.</p></div>",
+            lambda: f"<div><b>{some(1, 2)}</b><p>{some(3, 50)}.</p></div>",
+            lambda: f"<div>{some(1, 2)}<p>{some(3, 50)}.</p></div>",
+            lambda: f"<li><span>{some(1, 2)}</span> {some(1, 2)}<p>{some(3, 50)}.</p></li>",
+            lambda: f"<p>{some(3, 50)}.</p>",
+        ]
+        return "".join(rng.choice(ways)() for _ in range(rng.randint(1, 6)))
+
+    def bare() -> str:
+        """A line without an element of its own."""
+        return f'<{RUN} data-part="0">{rng.choice(["{}", "{} |", "&copy; {}", "<a href=/x>{}</a>", "{} &raquo;"]).format(some(1, 6))}</{RUN}>'
 
     form = f"<label>{some(1, 3)}</label><input name='q'><button>{some(1, 1)}</button><p>{some(2, 12)}</p>"
     boiler = [
         lambda: _closed(rng.choice(_MENU), links(rng.randint(1, 12)), "0"),
-        lambda: _closed(rng.choice(_BESIDE), rng.choice([links(rng.randint(1, 8)), f"<h3>{some(1, 4)}</h3>" + links(5), paragraphs(rng.randint(1, 3))]), "0"),
+        lambda: _closed(rng.choice(_BESIDE), rng.choice([links(rng.randint(1, 8)), f"<h3>{some(1, 4)}</h3>" + links(5), paragraphs(rng.randint(1, 3)), f"{some(1, 2)}: {some(1, 8)}"]), "0"),
         lambda: _closed(rng.choice(_NOTICE), some(4, 40), "0"),
         lambda: _closed(rng.choice(_ADVERT), rng.choice([some(2, 30), f"<p>{some(2, 30)}</p>"]), "0"),
         lambda: _closed("<form>", form, "0"),
@@ -424,6 +462,7 @@ def variant(source: str, rng: random.Random) -> str:
         lambda: _closed(rng.choice(_HEADER), rng.choice([some(1, 6), f"<h1>{some(1, 5)}</h1>", links(4)]), "0"),
         lambda: _closed(rng.choice(_FOOTER), rng.choice([some(3, 40), links(6), f"<p>{some(3, 40)}</p>"]), "0"),
         lambda: _closed(rng.choice(["<noscript>", "<noframes>", "<object>", "<noembed>"]), rng.choice([some(3, 20), f"<p>{some(3, 20)}.</p>", links(1)]), "0"),
+        lambda: _closed(rng.choice(["<section>", "<div>"]), f"<h3>{some(1, 3)}</h3>{note()}", "0"),
     ]
     good = [
         lambda: f"<h2>{some(1, 8)}</h2>",
@@ -441,7 +480,7 @@ def variant(source: str, rng: random.Random) -> str:
     inside = [part for part in re.split(r"(?=<(?:p|h\d|ul|div)\b)", inner) if part]
     if rng.random() < 0.3:  # short articles are articles too
         inside = inside[: rng.randint(1, 3)]
-    elif rng.random() < 0.1:
+    elif rng.random() < 0.2:
         inside = [f"<h1>{some(1, 3)}.</h1><p>{rng.choice(['', '<b>'])}{some(1, 4)}.<br>"]
     for _ in range(rng.choice([0, 0, 1, 2, 4])):
         inside.insert(rng.randint(0, len(inside)), rng.choice(good)())
@@ -449,11 +488,17 @@ def variant(source: str, rng: random.Random) -> str:
         inside.insert(rng.randint(0, len(inside)), rng.choice(boiler[1:6])())
     if rng.random() < 0.3:
         inside.insert(0, f"<header><h1>{some(2, 8)}</h1></header>")
-    body = _closed(rng.choice(_CONTENT), "".join(inside), "1")
+    unwrapped = rng.random() < 0.3
+    if unwrapped:  # parts of an article directly in the page
+        body = "".join(part if "data-part=" in part[: part.find(">")] else re.sub(r"^<([a-z0-9]+)", r'<\1 data-part="1"', part) for part in inside)
+    else:
+        body = _closed(rng.choice(_CONTENT), "".join(inside), "1")
     if rng.random() < 0.4:
         body = rng.choice(["<div>{}</div>", "<div class='wrapper'>{}</div>", "<div id='page container'>{}</div>"]).format(body)
-    before = "".join(rng.choice(boiler)() for _ in range(rng.randint(0, 4)))
-    after = "".join(rng.choice(boiler)() for _ in range(rng.randint(0, 5)))
+    edges = [*boiler, bare, bare]
+    alone = rng.random() < (0.5 if unwrapped else 0.1)  # some pages are their article
+    before = "" if alone else "".join(rng.choice(edges)() for _ in range(rng.randint(0, 4)))
+    after = "" if alone else "".join(rng.choice(edges)() for _ in range(rng.randint(0, 5)))
     return f"<html><head><title>{some(2, 6)}</title></head><body>{before}{body}{after}</body></html>"
 
 
@@ -475,8 +520,9 @@ def labels(page: Page, rows: list[int]) -> np.ndarray | None:
     named = [k for k in range(len(page.tag)) if page.part[k] == "1"] or [k for k in range(len(page.tag)) if page.tag[k] == "article"] or [k for k in range(len(page.tag)) if page.tag[k] == "main" or "main" in page.tokens[k]]
     if not named:
         return None
+    starts = set(named)
     for k in range(1, len(page.tag)):
-        inside[k] = k in named or (inside[page.parent[k]] and page.part[k] != "0")
+        inside[k] = k in starts or (inside[page.parent[k]] and page.part[k] != "0")
     for k in [k for k in range(len(page.tag)) if inside[k]]:
         while k > 0 and not inside[page.parent[k]]:
             k = page.parent[k]

@@ -454,7 +454,8 @@ def test_decoding_keeps_ancestors():
     rows, _ = html_extract.features(page)
     odds = {"div": -1.0, "p": 3.0, "nav": -5.0}
     kept = html_extract.decode(page, rows, np.array([odds[page.tag[k]] for k in rows]))
-    assert [page.tag[k] for k in range(1, len(kept)) if kept[k]] == ["div", "p"]
+    # the run of text in a paragraph goes with it
+    assert [page.tag[k] for k in range(1, len(kept)) if kept[k]] == ["div", "p", html_extract.RUN]
     assert all(kept[page.parent[k]] for k in range(1, len(kept)) if kept[k])
 
 

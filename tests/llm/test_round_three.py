@@ -3,13 +3,15 @@
 import hashlib
 import math
 import random
+import re
+import time
 import zlib
 from array import array
 from collections import defaultdict
 
 import numpy as np
 import pytest
-from debutline.llm import cuts, digest, incremental_means, manifest, mix, piece_codec, token_file
+from debutline.llm import cuts, digest, html_extract, incremental_means, manifest, mix, piece_codec, token_file
 from debutline.llm.queries import tokenizer_path
 from debutline.llm.shared import picked
 from pyspark.sql import functions as F
@@ -327,3 +329,55 @@ def test_next_documents_with_repeated_ids_by_hand(spark):
                 a, b, c = (digest_by_hand(t.encode()) for t in (own, edited, following))
                 ways.add((len(own), hashlib.sha256(edited.encode()).hexdigest(), a.hex(), b.hex(), round(likeness_by_hand(a, b), 9), round(likeness_by_hand(a, c), 9)))
         assert (r["n_chars"], r["edited_sha256"], r["fingerprint"], r["edited_fingerprint"], round(r["near_edited"], 9), round(r["near_next"], 9)) in ways
+
+
+# --- main texts -----------------------------------------------------------------------------------
+
+STORY = "<p>The first paragraph of the story is long enough to be read, with commas, and full stops.</p><p>Another one follows here, which tells more about it all, and ends the story well.</p>"
+STORY_TEXT = "\n\n".join(part[3:] for part in STORY.split("</p>") if part)
+CASES = {
+    "bare lines around": (f"<body>Skip to content <article><h1>Title here</h1>{STORY}</article> Copyright 2024 Some Company</body>", f"Title here\n\n{STORY_TEXT}"),
+    "an aside inside": (f"<body><article><h1>Title here</h1>{STORY}<aside>Related: other story</aside>{STORY}</article></body>", f"Title here\n\n{STORY_TEXT}\n\n{STORY_TEXT}"),
+    "unnamed comments": (f"<body><article><h1>Title here</h1>{STORY}</article><div><h3>Comments</h3><div><b>Bob</b><p>Nice story, thanks for it.</p></div></div></body>", f"Title here\n\n{STORY_TEXT}"),
+}
+
+
+@pytest.fixture(scope="module")
+def forest(spark):
+    return html_extract.fit(spark.read.parquet("/root/testdata/sf0.01/pages.parquet"))
+
+
+@pytest.mark.parametrize("name", list(CASES))
+def test_main_text_of_pages_by_the_contract(forest, name):
+    source, want = CASES[name]
+    assert html_extract.main_texts([source], forest) == [want]
+
+
+def test_articles_without_any_wrapper(spark, forest):
+    pages = [row[0] for row in spark.read.parquet("/root/testdata/sf0.001/pages.parquet").select("html").collect()]
+    inner = [re.search(r"<article>(.*?)(?:</article>|$)", page, re.S)[1] for page in pages]
+    named = html_extract.main_texts([f"<body><article>{part}</article></body>" for part in inner], forest)
+    bare = html_extract.main_texts([f"<body>{part}</body>" for part in inner], forest)
+    framed = html_extract.main_texts([f"<body><nav><a href='/a'>Home</a></nav>{part}<footer>Copyright of the site</footer></body>" for part in inner], forest)
+    for found in (bare, framed):
+        assert all(found) and sum(a == b for a, b in zip(found, named)) >= 0.9 * len(pages), sum(a == b for a, b in zip(found, named)) / len(pages)
+
+
+def test_runs_of_text_are_elements_of_their_own():
+    page = html_extract.parse("<div>one <b>two</b> three<p>four</p> <p>five <i>six</i></p>seven<hr>eight</div>")
+    runs = [k for k, tag in enumerate(page.tag) if tag == html_extract.RUN]
+    texts = {k: "".join(text for node, text in page.events if node == k or page.parent[node] == k) for k in runs}
+    assert [texts[k] for k in runs] == ["one two three", "four", "five six", "seven", "eight"]
+    assert all(page.parent[k] < k for k in range(1, len(page.tag)))
+    rows, _ = html_extract.features(page)
+    # a paragraph's own run goes with it
+    assert [page.tag[k] for k in rows] == ["div", html_extract.RUN, "p", "p", html_extract.RUN, html_extract.RUN]
+    assert html_extract.text_of(page, [True] * len(page.tag)) == "one two three\n\nfour\n\nfive six\n\nseven\n\neight"
+
+
+@pytest.mark.parametrize("tag", ["div", "b", "li"])
+def test_deeply_nested_tags_take_linear_time(forest, tag):
+    source = f"<{tag}>" * 100_000 + "deep" + "</p></em></li></td>" * 25_000
+    begun = time.perf_counter()
+    assert len(html_extract.parse(source).tag) > 100_000
+    assert time.perf_counter() - begun < 10
