@@ -14,6 +14,7 @@ from debutline.operators.boost import AdaBoostClassifier, AdaBoostModel
 from debutline.operators.drift import drift_free, drift_report, ks_probability, ks_statistics
 from debutline.operators.impute import NeighbourImputer, NeighbourImputerModel, impute
 from debutline.operators.knn import KnnClassifier, KnnModel
+from debutline.operators import nearest as nearest_module
 from debutline.operators.nearest import BlockPlan, nearest
 from debutline.operators.power import PowerTransform, PowerTransformModel, fit_powers
 from debutline.operators.scores import best, leaderboard, macro_scores
@@ -271,8 +272,9 @@ def brute(asked, held, k):
     return out
 
 
-@pytest.mark.parametrize("plan", [BlockPlan(), BlockPlan(donors_per_block=40, receivers_per_task=15), BlockPlan(donors_per_block=7, max_blocks=2)])
-def test_nearest_against_brute_force(spark, plan):
+@pytest.mark.parametrize("plan", [BlockPlan(), BlockPlan(donors_per_block=40, receivers_per_task=15), BlockPlan(donors_per_block=2)])
+def test_nearest_against_brute_force(spark, monkeypatch, plan):
+    monkeypatch.setattr(nearest_module, "FAN", 6)  # several levels of boxes
     rng = np.random.default_rng(5)
     some = lambda: [None if rng.random() < 0.2 else float(np.round(v, 1)) for v in rng.normal(0, 3, 3)]
     held = [(at, some()) for at in range(300)] + [(at, [1.0, 1.0, 1.0]) for at in range(300, 420)]
