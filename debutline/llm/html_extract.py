@@ -26,8 +26,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 TRAIN_PAGES = 300
-VARIANTS = 5
-TREES = 60
+VARIANTS = 4
+TREES = 30
 DEPTH = 6
 RATE = 0.5
 BINS = 24
