@@ -121,7 +121,7 @@ def link_zip(spark: SparkSession, folder: str) -> DataFrame:
     lines = lineitem(spark, folder).select("l_orderkey", "l_extendedprice", "l_shipdate", "l_linenumber", "l_partkey", "l_linestatus")
     out = match.attach(orders(spark, folder), lines, "o_orderkey", "l_orderkey", ["l_linenumber", "l_partkey", "l_extendedprice"])
     out = match.attach(out, table(spark, folder, "customer").select("c_custkey", "c_name").withColumn("at", F.lit(0)), "o_custkey", "c_custkey", ["at"])
-    out = match.replace_by_lookup(out, "o_orderstatus", "o_orderkey", lines, "l_orderkey", "l_linestatus", ["l_linenumber", "l_partkey"])
+    out = match.replace_by_lookup(out, "o_orderstatus", "o_orderkey", lines, "l_orderkey", "l_linestatus", ["l_linenumber", "l_partkey", "l_extendedprice"])
     return out.select("o_orderkey", "o_orderstatus", "c_name", date_text("l_shipdate").alias("shipped"))
 
 
