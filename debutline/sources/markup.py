@@ -11,10 +11,11 @@ import re
 from collections.abc import Callable, Iterator, Mapping, Sequence
 from html import unescape
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from debutline.functions.common import ColumnLike, col, let
 from debutline.functions.text import clean_cell, clean_name, link_symbol, query_symbol
@@ -28,6 +29,7 @@ WEBSITE_EXCLUDED = "www.google.co.in/"
 BSE_HOST = "bseindia.com"
 NSE_HOST = "nseindia.com"
 SCREENER_PART = "www.screener.in/company/"
+PAGES_PER_STEP = 256
 # --- end of fixed values ----------------------------------------------------------------------
 
 LINK_TYPE = T.StructType(
@@ -79,24 +81,29 @@ class _PageReader:
         self.link: dict | None = None
 
     def read(self, page: str) -> None:
-        for token in TOKENS.finditer(page):
-            kind = token.lastgroup
-            if kind == "text":
+        for _, close, tag, attrs, text in map(re.Match.groups, TOKENS.finditer(page)):
+            if text is not None:
                 if self.texts or self.span_at or self.link is not None:
-                    text = token["text"]
                     self.handle_data(unescape(text) if "&" in text else text)
-            elif token["tag"]:
-                tag = token["tag"].lower()
-                if tag not in WATCHED:
-                    continue
-                if token["close"]:
+            elif tag and (tag := tag.lower()) in WATCHED:
+                if close:
                     self.handle_endtag(tag)
                 else:
-                    self.handle_starttag(tag, token["attrs"])
+                    self.handle_starttag(tag, attrs)
 
     def handle_starttag(self, tag: str, attrs: str) -> None:
         table = self.open_tables[-1] if self.open_tables else None
-        if tag == "table":
+        if tag in ("td", "th"):
+            if table and table["rows"]:
+                self._close_cell(table)
+                table["cell"] = (tag, [])
+                self.texts.append(table["cell"][1])
+        elif tag == "tr":
+            if table:
+                self._close_cell(table)
+                table["row"] += 1
+                table["rows"].append([])
+        elif tag == "table":
             fresh = {"no": len(self.tables), "head": False, "row": -1, "cell": None, "headers": [], "links": [], "rows": []}
             self.tables.append(fresh)
             self.open_tables.append(fresh)
@@ -104,14 +111,6 @@ class _PageReader:
             table["head"] = True
         elif tag == "tbody" and table:
             table["head"] = False
-        elif tag == "tr" and table:
-            self._close_cell(table)
-            table["row"] += 1
-            table["rows"].append([])
-        elif tag in ("td", "th") and table and table["rows"]:
-            self._close_cell(table)
-            table["cell"] = (tag, [])
-            self.texts.append(table["cell"][1])
         elif tag == "li":
             self.items += 1
         elif tag == "span":
@@ -136,14 +135,15 @@ class _PageReader:
 
     def handle_endtag(self, tag: str) -> None:
         table = self.open_tables[-1] if self.open_tables else None
-        if tag == "table" and table:
+        if tag in ("td", "th", "tr"):
+            if table and table["cell"] is not None:
+                self._close_cell(table)
+        elif tag == "table" and table:
             self._close_cell(table)
             self.open_tables.pop()
         elif tag == "thead" and table:
             self._close_cell(table)
             table["head"] = False
-        elif tag in ("td", "th", "tr") and table:
-            self._close_cell(table)
         elif tag == "li":
             self.items = max(0, self.items - 1)
         elif tag == "span" and self.span_at:
@@ -166,7 +166,10 @@ class _PageReader:
         if table["cell"] is None:
             return
         tag, parts = table["cell"]
-        self.texts = [text for text in self.texts if text is not parts]
+        if self.texts[-1] is parts:
+            self.texts.pop()
+        else:
+            self.texts = [text for text in self.texts if text is not parts]
         table["cell"] = None
         if tag == "td":
             table["rows"][-1].append("".join(parts))
@@ -204,16 +207,17 @@ def parse_pages(pages: DataFrame, html: str = "html") -> DataFrame:
     """Replace the page text by its tables, row links, list spans and an error text."""
     kept = [field for field in pages.schema if field.name != html]
     names = [field.name for field in kept]
+    kinds = [(field.name, to_arrow_type(field.dataType)) for field in PARSED_FIELDS]
 
-    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = batch[names].copy()
-            parsed = [_read_page(text) for text in batch[html]]
-            for at, field in enumerate(PARSED_FIELDS):
-                out[field.name] = pd.Series([row[at] for row in parsed], index=out.index, dtype=object)
-            yield out
+            for start in range(0, batch.num_rows, PAGES_PER_STEP):
+                some = batch.slice(start, PAGES_PER_STEP)
+                parsed = [_read_page(text.as_py()) for text in some.column(html)]
+                fields = [pa.array(column, kind) for column, (_, kind) in zip(zip(*parsed), kinds)]
+                yield pa.RecordBatch.from_arrays([*[some.column(name) for name in names], *fields], [*names, *[name for name, _ in kinds]])
 
-    return pages.select(*names, html).mapInPandas(read, T.StructType(kept + PARSED_FIELDS))
+    return pages.select(*names, html).mapInArrow(read, T.StructType(kept + PARSED_FIELDS))
 
 
 def split_errors(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -439,29 +443,31 @@ def price_series(parsed: DataFrame, read: Callable[[Column, Column], Column], ur
 
     A page's later tables overwrite the same rows of earlier ones. All of it happens in the row; pages are shuffled as short arrays, for those landed twice.
     """
-    headers, text = lambda table: table["headers"], lambda row, at: clean_cell(F.try_element_at(row, F.nullif(at, F.lit(0))))
 
     def entries(table: Column) -> Column:
-        price, date = (F.array_position(headers(table), F.lit(name)).cast("int") for name in (metric, "GMP Date"))
+        places = F.struct(*[F.array_position(table["headers"], F.lit(head)).cast("int").alias(name) for name, head in (("price", metric), ("date", "GMP Date"))])
 
-        def one(row: Column) -> Column:
-            dated = F.nullif(F.regexp_extract(text(row, date), PRICE_DAY_PATTERN, 1), F.lit(""))
-            return F.struct(dated.alias("date"), text(row, price).alias("price"))
+        def cells(at: Column) -> Column:
+            cell = lambda row, place: F.when(place > 0, F.try_element_at(row, place))
+            rows = F.filter(table["rows"], lambda _: at["price"] > 0)
+            return F.transform(rows, lambda row: F.struct(cell(row, at["date"]).alias("date"), cell(row, at["price"]).alias("price")))
 
-        return F.when(price > 0, F.transform(table["rows"], one)).otherwise(F.filter(F.transform(table["rows"], one), lambda _: F.lit(False)))
+        return let(places, cells)
+
+    def one(cell: Column) -> Column:
+        """A row's texts; its date is bound, as the expressions on it name it more than once."""
+        dated = F.regexp_extract(clean_cell(cell["date"]), PRICE_DAY_PATTERN, 1)
+        return let(F.struct(dated.alias("date"), clean_cell(cell["price"]).alias("price")), lambda row: read(F.nullif(row["date"], F.lit("")), row["price"]))
 
     def rows_of(tables: Column) -> Column:
         """Row by row, what the last table with that row says; the tables are bound once, as every row looks at them."""
         longest = F.array_max(F.transform(tables, F.size))
-
-        def last(at: Column) -> Column:
-            row = F.element_at(F.element_at(F.filter(tables, lambda table: F.size(table) >= at), -1), at)
-            return read(row["date"], row["price"])
-
+        last = lambda at: one(F.element_at(F.element_at(F.filter(tables, lambda table: F.size(table) >= at), -1), at))
         return F.when(longest > 0, F.transform(F.sequence(F.lit(1), longest), last))
 
     series = parsed.select(F.col(url).alias("grmkpt_url"), let(F.transform(chosen_tables("tables", "grmkpt"), entries), rows_of).alias("_series"))
-    return series.filter(F.col("_series").isNotNull()).groupBy("grmkpt_url").agg(F.max("_series").alias("series"))
+    # pages without a series are left out last: a filter on the series itself would have it made twice
+    return series.groupBy("grmkpt_url").agg(F.max("_series").alias("series")).filter(F.col("series").isNotNull())
 
 
 def price_rows(parsed: DataFrame, url: str = "url", metric: str = "GMP") -> DataFrame:

@@ -13,6 +13,7 @@ from debutline.functions.dates import date_text
 from debutline.functions.text import searched_name, search_url
 from debutline.operators.reshape import long_from_pairs
 from debutline.plans.extract import PAGE_KINDS, SERIES, offer_details, offer_prices, offer_reviews, offer_subscriptions, quarantine
+from debutline.session import spread
 from debutline.sources import markup
 from debutline.workload.tables import orders, table
 
@@ -84,7 +85,7 @@ def _html(*parts: str | Column) -> Column:
 
 
 def _order_pages(spark: SparkSession, folder: str, html: Column) -> DataFrame:
-    pages = orders(spark, folder).withColumn("_url", F.concat(F.lit("https://offers.example.org/o/"), "o_orderkey"))
+    pages = spread(orders(spark, folder)).withColumn("_url", F.concat(F.lit("https://offers.example.org/o/"), "o_orderkey"))
     return pages.select(F.col("_url").alias("url"), html.alias("html"))
 
 
@@ -205,7 +206,7 @@ def list_pages(spark: SparkSession, folder: str) -> DataFrame:
         _html("<div><table><thead><tr><th><a href='/sort'>Company</a></th></tr><tr><td><a href='/all'>All</a></td></tr></thead><tbody>", *link("one"), *link("two", "<del>", "</del>"), "</tbody></table></div>"),
     ).otherwise(_html("<div><table><tbody><tr><th><a href='/sort'>Company</a></th></tr>", *link("one"), *link("two"), "</tbody></table></div>"))
     folder_name = F.when(F.col("c_mktsegment") == "BUILDING", "sme").otherwise("mainboard")
-    pages = table(spark, folder, "customer").select(
+    pages = spread(table(spark, folder, "customer")).select(
         F.concat(F.lit("https://lists.example.org/"), "c_custkey", F.lit("/"), folder_name, F.lit("/?year=2025")).alias("url"), html.alias("html")
     )
     return markup.listed_companies(markup.parse_pages(pages))
