@@ -6,12 +6,12 @@ import math
 from collections.abc import Sequence
 
 import numpy as np
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from debutline.schema import DRIFT_THRESHOLD
+from debutline.session import cut_lineage
 
 SKIP_NOTE = "Skipped due to NaN values"
 
@@ -75,7 +75,7 @@ def ks_statistics(base: DataFrame, current: DataFrame, columns: Sequence[str], s
     Few passes keep the work small at any size:
 
     1. row and null counts and approximate quantiles give up to `slots` value ranges per column;
-    2. exact counts per range give the gap at every range end, and the most a gap can reach inside;
+    2. rows are counted per distinct value, once; exact counts per range give the gap at every range end, and the most a gap can reach inside;
     3. ranges that could beat the best range end are cut at quantiles of their own and counted again, until none is left.
 
     No range is ever sorted or gathered; the driver sees `slots` rows per open range.
@@ -100,24 +100,16 @@ def ks_statistics(base: DataFrame, current: DataFrame, columns: Sequence[str], s
         return list(out.values())
 
     # a negative zero equals zero but would be put below it
-    typed = both.select("_base", *[(F.col(name).cast("double") + 0.0).alias(f"_v{at}") for at, name in enumerate(known)])
-    slotted = Bucketizer(
-        splitsArray=[[-math.inf, *edges, math.inf] for edges in known.values()],
-        inputCols=[f"_v{at}" for at in range(len(known))],
-        outputCols=[f"_s{at}" for at in range(len(known))],
-    ).transform(typed)
-    cells = F.explode(
-        F.array(
-            *[
-                F.struct(F.lit(n).alias("column"), F.col(f"_s{at}").cast("int").alias("slot"), F.col(f"_v{at}").alias("value"))
-                for at, n in enumerate(known)
-            ]
-        )
-    )
-    long = slotted.select("_base", cells.alias("cell")).select("_base", "cell.*")
-    counts = (F.count_if(is_base).alias("c1"), F.count_if(~is_base).alias("c2"))
+    cells = F.explode(F.array(*[F.struct(F.lit(n).alias("column"), (F.col(n).cast("double") + 0.0).alias("value")) for n in known]))
+    long = both.select("_base", cells.alias("cell")).select("_base", "cell.*")
+    # rows count by their value alone: written once, every pass goes over distinct values
+    long = cut_lineage(long.groupBy("column", "value").agg(F.count_if(is_base).alias("c1"), F.count_if(~is_base).alias("c2")), "values")
+    slot = F.lit(None).cast("int")
+    for name, edges in known.items():
+        slot = F.when(F.col("column") == name, _edges_up_to(F.array(*[F.lit(edge) for edge in edges]).cast("array<double>"), F.col("value"))).otherwise(slot)
+    counts = (F.sum("c1").alias("c1"), F.sum("c2").alias("c2"))
     per_slot: dict[str, list] = {name: [] for name in known}
-    for row in long.groupBy("column", "slot").agg(*counts).collect():
+    for row in long.withColumn("slot", slot).groupBy("column", "slot").agg(*counts).collect():
         per_slot[row["column"]].append((row["slot"], row["c1"], row["c2"]))
 
     best, open_ranges = dict.fromkeys(known, 0.0), []
@@ -169,9 +161,8 @@ def _cut_again(long: DataFrame, open_ranges: list[tuple], steps: Column, accurac
     # the middle and the greatest value part every range that holds two values, however many rows one of them has
     edges = {row["at"]: sorted({*row["edges"], row["least"] / 2 + row["most"] / 2, row["most"]}) for row in spread.collect()}
     cut = F.broadcast(spark.createDataFrame(list(edges.items()), "cut int, edges array<double>"))
-    placed = inside.join(cut, F.col("at") == F.col("cut")).withColumn("slot", F.size(F.filter("edges", lambda edge: edge <= value)))
-    is_base = F.col("_base") == 1
-    counts = placed.groupBy("at", "slot").agg(F.count_if(is_base).alias("c1"), F.count_if(~is_base).alias("c2"), (F.min(value) < F.max(value)).alias("several")).collect()
+    placed = inside.join(cut, F.col("at") == F.col("cut")).withColumn("slot", _edges_up_to(F.col("edges"), value))
+    counts = placed.groupBy("at", "slot").agg(F.sum("c1").alias("c1"), F.sum("c2").alias("c2"), (F.min(value) < F.max(value)).alias("several")).collect()
     out: dict[tuple, list[tuple]] = {}
     for row in sorted(counts, key=lambda r: (r["at"], r["slot"])):
         name, low, high, before1, before2, _ = open_ranges[row["at"]]
@@ -181,6 +172,11 @@ def _cut_again(long: DataFrame, open_ranges: list[tuple], steps: Column, accurac
     return out
 
 
+def _edges_up_to(edges: Column, value: Column) -> Column:
+    """Number of sorted edges not above the value."""
+    return F.size(F.filter(edges, lambda edge: edge <= value))
+
+
 def edges_below(edges: Sequence[float], value: Column) -> Column:
     """Number of sorted edges smaller than the value, by halving steps."""
     steps = [1 << bit for bit in range(len(edges).bit_length() - 1, -1, -1)]
