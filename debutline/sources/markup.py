@@ -18,12 +18,11 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
 from debutline.functions.common import ColumnLike, col, let
-from debutline.functions.text import clean_cell, clean_name, link_symbol, query_symbol
+from debutline.functions.text import clean_cell, clean_name, link_symbol, query_symbol, to_number
 from debutline.schema import LINK_KINDS, TABLE_IDENTIFIERS
 
 # --- fixed values -----------------------------------------------------------------------------
 DAY_LABEL_PATTERN = r"(?i).*?(Day \d+).*?"
-DAY_LABEL_TEXT = r"(Day \d+)"
 PRICE_DAY_PATTERN = r"^(\d{1,2}-\d{1,2}-\d{4})"
 WEBSITE_EXCLUDED = "www.google.co.in/"
 BSE_HOST = "bseindia.com"
@@ -58,12 +57,19 @@ PARSED_FIELDS = [
 ]
 
 
-TOKENS = re.compile(
-    r"""<!--.*?(?:-->|$)|<(?P<raw>script|style)\b.*?(?:</(?P=raw)\s*>|$)|<[!?][^>]*>"""
-    r"""|<(?P<close>/?)(?P<tag>[a-z][a-z0-9]*)(?P<attrs>(?:[^>"']|"[^"]*"|'[^']*')*)>|(?P<text>[^<]+|<)""",
-    re.IGNORECASE | re.DOTALL,
+ATTRS = r"""[^>"']*+(?:(?:"[^"]*"|'[^']*')[^>"']*+)*+"""
+TAGS = (
+    r"""(?i:<!--.*?(?:-->|$)|<(?P<raw>script|style)\b.*?(?:</(?P=raw)\s*>|$)|<[!?][^>]*>"""
+    rf"""|<(?P<close>/?)(?P<tag>[a-z][a-z0-9]*)(?P<attrs>{ATTRS})>|(?P<text>[^<]+|<))"""
 )
 WATCHED = {"table", "thead", "tbody", "tr", "td", "th", "li", "span", "a", "del"}
+# a row whose cells hold nothing but text and such tags is one token, as most rows of a long table are
+END = rf"(?:>|[\s/]{ATTRS}>)"
+FORMATTING = rf"(?!</[tT])</?(?i:br|b|i|u|p|em|strong|small|sup|sub|font|div){END}"
+CELL = rf"<[tT](%s[dDhH]){END}(%s[^<]*+(?:{FORMATTING}[^<]*+)*+)</[tT][dDhH]\s*+>"
+PLAIN_ROW = rf"<[tT][rR]{END}(?P<cells>(?:\s*+{CELL % ('?:', '?:')})++)\s*+</[tT][rR]\s*+>"
+TOKENS, ROW_TOKENS = (re.compile(tokens, re.DOTALL) for tokens in (f"{PLAIN_ROW}|{TAGS}", TAGS))
+CELL_TEXTS, BETWEEN = re.compile(CELL % ("", "")), re.compile(FORMATTING)
 HREF = re.compile(r"""\shref\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.IGNORECASE)
 
 
@@ -81,15 +87,35 @@ class _PageReader:
         self.link: dict | None = None
 
     def read(self, page: str) -> None:
-        for _, close, tag, attrs, text in map(re.Match.groups, TOKENS.finditer(page)):
-            if text is not None:
-                if self.texts or self.span_at or self.link is not None:
-                    self.handle_data(unescape(text) if "&" in text else text)
-            elif tag and (tag := tag.lower()) in WATCHED:
-                if close:
-                    self.handle_endtag(tag)
-                else:
-                    self.handle_starttag(tag, attrs)
+        for found in TOKENS.finditer(page):
+            cells, _, *token = found.groups()
+            if cells is None:
+                self._read_token(*token)
+            elif self.texts or self.span_at or self.link is not None:
+                for inner in ROW_TOKENS.finditer(found.group()):
+                    self._read_token(*inner.groups()[1:])
+            elif self.open_tables:
+                # no cell, span or link is open, so the row is all that changes
+                table, row = self.open_tables[-1], []
+                table["row"] += 1
+                table["rows"].append(row)
+                for kind, text in CELL_TEXTS.findall(cells):
+                    if "<" in text or "&" in text:
+                        text = "".join(map(unescape, BETWEEN.split(text)))
+                    if kind in "dD":
+                        row.append(text)
+                    elif table["head"] or table["row"] == 0:
+                        table["headers"].append(text.strip())
+
+    def _read_token(self, close: str | None, tag: str | None, attrs: str | None, text: str | None) -> None:
+        if text is not None:
+            if self.texts or self.span_at or self.link is not None:
+                self.handle_data(unescape(text) if "&" in text else text)
+        elif tag and (tag := tag.lower()) in WATCHED:
+            if close:
+                self.handle_endtag(tag)
+            else:
+                self.handle_starttag(tag, attrs)
 
     def handle_starttag(self, tag: str, attrs: str) -> None:
         table = self.open_tables[-1] if self.open_tables else None
@@ -411,23 +437,36 @@ def _under(header: str) -> Column:
     return clean_cell(F.try_element_at(F.col("row"), F.nullif(at, F.lit(0))))
 
 
-def subscription_rows(parsed: DataFrame, url: str = "url") -> DataFrame:
-    """Subscription tables in long form: url, day, date text, metric, value text; the last table wins.
+def subscription_series(parsed: DataFrame, names: Sequence[str], url: str = "url") -> DataFrame:
+    """Subscription tables as one array per page: (day, place of the heading in `names`, table, row, number) of every cell below one of these headings.
 
-    Labels whose number is none that a day can have are left out here and named by `unreadable_days`.
+    All of it happens in the row; pages are shuffled as short arrays, as the cells of a page landed twice are put together. Labels whose number is
+    none that a day can have are left out here and named by `unreadable_days`.
     """
-    cells = _cells(parsed, "sbscrp", url).withColumn("_date", _under("Date"))
-    label = F.nullif(F.regexp_extract("_date", DAY_LABEL_PATTERN, 1), F.lit(""))
-    named = cells.withColumn("_label", label).filter((F.col("header") != "Date") & F.col("_label").isNotNull())
-    date = F.trim(F.regexp_replace("_date", DAY_LABEL_TEXT, ""))
-    day = _label_day("_label")
-    return named.filter(day.isNotNull()).groupBy(F.col(url).alias("sbscrp_url"), day.alias("day"), F.col("header").alias("metric")).agg(
-        F.max_by(F.struct(date.alias("date"), F.col("text").alias("value")), F.struct("table_no", "row_no")).alias("_last")
-    ).select("sbscrp_url", "day", F.col("_last.date").alias("date_text"), "metric", F.col("_last.value").alias("value"))
-
-
-def _label_day(label: str) -> Column:
-    return F.regexp_extract(label, r"(\d+)", 1).try_cast("int")
+    known = [F.lit(part) for at, name in enumerate(names) for part in (name, at)]
+
+    def cells(table: Column, number: Column) -> Column:
+        places = F.transform(table["headers"], lambda header: F.when(header != "Date", F.try_element_at(F.create_map(*known), header)))
+        columns = F.filter(F.transform(places, lambda place, at: F.struct(place.alias("place"), (at + 1).alias("column"))), lambda held: held["place"].isNotNull())
+        heads = F.struct(F.nullif(F.array_position(table["headers"], F.lit("Date")).cast("int"), F.lit(0)).alias("date"), columns.alias("columns"))
+        return let(heads, lambda head: F.flatten(F.transform(table["rows"], lambda row, at: below(head, row, number, at))))
+
+    def below(head: Column, row: Column, number: Column, at: Column) -> Column:
+        day = _label_day(F.regexp_extract(clean_cell(F.try_element_at(row, head["date"])), DAY_LABEL_PATTERN, 1))
+
+        def entry(day: Column, held: Column) -> Column:
+            value = to_number(clean_cell(F.try_element_at(row, held["column"])))
+            return F.struct(day.alias("day"), held["place"].alias("place"), number.alias("table"), at.alias("row"), value.alias("value"))
+
+        return let(day, lambda day: F.transform(F.filter(head["columns"], lambda _: day.isNotNull()), lambda held: entry(day, held)))
+
+    entries = F.flatten(F.transform(chosen_tables("tables", "sbscrp"), cells))
+    held = parsed.select(F.col(url).alias("sbscrp_url"), entries.alias("_entries"))
+    return held.groupBy("sbscrp_url").agg(F.flatten(F.collect_list("_entries")).alias("entries")).filter(F.size("entries") > 0)
+
+
+def _label_day(label: ColumnLike) -> Column:
+    return F.regexp_extract(col(label), r"(\d+)", 1).try_cast("int")
 
 
 def unreadable_days(parsed: DataFrame, url: str = "url") -> DataFrame:
