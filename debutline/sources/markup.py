@@ -483,28 +483,25 @@ def price_series(parsed: DataFrame, read: Callable[[Column, Column], Column], ur
     A page's later tables overwrite the same rows of earlier ones. All of it happens in the row; pages are shuffled as short arrays, for those landed twice.
     """
 
-    def entries(table: Column) -> Column:
+    def rows(table: Column) -> Column:
         places = F.struct(*[F.array_position(table["headers"], F.lit(head)).cast("int").alias(name) for name, head in (("price", metric), ("date", "GMP Date"))])
+        return let(places, lambda at: F.when(at["price"] > 0, F.transform(table["rows"], lambda row: one(row, at))).otherwise(nothing))
 
-        def cells(at: Column) -> Column:
-            cell = lambda row, place: F.when(place > 0, F.try_element_at(row, place))
-            rows = F.filter(table["rows"], lambda _: at["price"] > 0)
-            return F.transform(rows, lambda row: F.struct(cell(row, at["date"]).alias("date"), cell(row, at["price"]).alias("price")))
-
-        return let(places, cells)
-
-    def one(cell: Column) -> Column:
+    def one(row: Column, at: Column) -> Column:
         """A row's texts; its date is bound, as the expressions on it name it more than once."""
-        dated = F.regexp_extract(clean_cell(cell["date"]), PRICE_DAY_PATTERN, 1)
-        return let(F.struct(dated.alias("date"), clean_cell(cell["price"]).alias("price")), lambda row: read(F.nullif(row["date"], F.lit("")), row["price"]))
+        cell = lambda place: F.when(place > 0, F.try_element_at(row, place))
+        dated = F.regexp_extract(clean_cell(cell(at["date"])), PRICE_DAY_PATTERN, 1)
+        return let(dated, lambda date: read(F.nullif(date, F.lit("")), clean_cell(cell(at["price"]))))
 
     def rows_of(tables: Column) -> Column:
         """Row by row, what the last table with that row says; the tables are bound once, as every row looks at them."""
         longest = F.array_max(F.transform(tables, F.size))
-        last = lambda at: one(F.element_at(F.element_at(F.filter(tables, lambda table: F.size(table) >= at), -1), at))
-        return F.when(longest > 0, F.transform(F.sequence(F.lit(1), longest), last))
+        last = lambda at: F.element_at(F.element_at(F.filter(tables, lambda table: F.size(table) >= at), -1), at)
+        merged = F.when(F.size(tables) == 1, F.element_at(tables, 1)).otherwise(F.transform(F.sequence(F.lit(1), longest), last))
+        return F.when(longest > 0, merged)
 
-    series = parsed.select(F.col(url).alias("grmkpt_url"), let(F.transform(chosen_tables("tables", "grmkpt"), entries), rows_of).alias("_series"))
+    nothing = F.filter(F.array(read(F.lit(None).cast("string"), F.lit(None).cast("string"))), lambda _: F.lit(False))
+    series = parsed.select(F.col(url).alias("grmkpt_url"), let(F.transform(chosen_tables("tables", "grmkpt"), rows), rows_of).alias("_series"))
     # pages without a series are left out last: a filter on the series itself would have it made twice
     return series.groupBy("grmkpt_url").agg(F.max("_series").alias("series")).filter(F.col("series").isNotNull())
 
